@@ -25,7 +25,9 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     This cuts the lineage at a place all executors see: a lost executor costs the tasks it
-    was running, never the stages that made the table.
+    was running, never the stages that made the table. An aggregate that is joined back to
+    its rows is written too: the join then shuffles both sides for itself, and adaptive
+    execution can split the rows of a key that a large part of the table shares.
     """
     spark = df.sparkSession
     folder = work_folder(spark, purpose)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplierlens.llm.common import BLANKS
+from supplierlens.llm.common import BLANKS, written
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
@@ -55,8 +55,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_type = base.schema["doc_id"].dataType.simpleString()
     held = (base.mapInArrow(keys, f"doc_id {id_type}, keys array<binary>")
             .select("doc_id", F.explode("keys").alias("key")).distinct())
-    shared = (held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("stays"))
-              .where(F.col("n") >= min_documents).select("key", "stays"))
+    shared = written(held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("stays"))
+                     .where(F.col("n") >= min_documents).select("key", "stays"), "line-shared")
     lost = (held.join(shared, "key").where(~F.col("doc_id").eqNullSafe(F.col("stays")))
             .groupBy(F.col("doc_id").alias("lost_id")).agg(F.collect_list("key").alias("lost")))
 

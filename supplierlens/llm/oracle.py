@@ -61,4 +61,26 @@ f AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM f GROUP BY doc_id""",
+    "op10_minhash_dedup": rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                    '[^{_BLANK}]+') AS words FROM documents),
+x AS (
+  SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle FROM t),
+s AS (SELECT DISTINCT doc_id, hash(shingle) AS shingle FROM x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM b JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * common >= 80 * (na.n + nb.n - common)),
+r AS (
+  SELECT doc_id AS node, doc_id AS root FROM t
+  UNION
+  SELECT l.b, r.root FROM r JOIN l ON l.a = r.node),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, t.doc_id = c.component_id AS kept
+FROM t JOIN c ON c.node = t.doc_id LEFT JOIN n ON n.doc_id = t.doc_id""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplierlens.llm import exact_dedup, line_dedup, quality_rules
+from supplierlens.llm import exact_dedup, line_dedup, minhash_dedup, quality_rules, substring_dedup
 from supplierlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, folder), hash_all=True)
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(documents(spark, folder))
+    return out.select("doc_id", "n_sentences", "n_removed", "n_chars_removed",
+                      F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     out = quality_rules.quality_cascade(docs, measures=tuple(quality_rules.MEASURES))
@@ -29,8 +35,14 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.minhash_dedup(documents(spark, folder), minhash_dedup.Settings(words=4))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_line_dedup": op8_line_dedup,
+    "op10_minhash_dedup": op10_minhash_dedup,
 }

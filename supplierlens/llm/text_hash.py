@@ -118,12 +118,17 @@ def _hashed(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndar
     opens[cut] = body[cut]
     closes[cut - 1] = body[cut - 1]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    n = len(data)
+    return starts, ends, range_hashes(_BYTE[_LOWER[data] if lower else data], starts, ends)
+
+
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ``values[starts[i]:ends[i]]``: differences of one running polynomial."""
+    n = len(values)
     up, down = (_UP, _DOWN) if n <= PIECE_BYTES else (_powers(_BASE, n), _powers(_UNBASE, n))
     running = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[data] if lower else data] * up[:n], out=running[1:])
+    np.cumsum(values * up[:n], out=running[1:])
     hashes = (running[ends] - running[starts]) * down[starts]
-    return starts, ends, mixed(hashes + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed(hashes + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -133,7 +138,7 @@ def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
         return hashes
     c = constants(k + 1, 3)
     if n < k:
-        return mixed((hashes * c[:n]).sum(dtype=np.uint64, keepdims=True) + c[k] * np.uint64(n))
+        return mixed((hashes * c[:n]).sum(dtype=np.uint64, keepdims=True) + c[k:] * np.uint64(n))
     out = hashes[:n - k + 1] * c[0]
     for i in range(1, k):
         out += hashes[i:n - k + 1 + i] * c[i]
