@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplierlens.llm import exact_dedup, line_dedup, minhash_dedup, quality_rules, substring_dedup
+from supplierlens.llm import (
+    bpe,
+    exact_dedup,
+    line_dedup,
+    minhash_dedup,
+    packing,
+    quality_rules,
+    substring_dedup,
+    token_files,
+)
 from supplierlens.llm.common import documents
+from supplierlens.llm.tokens import tokenizer_path
+from supplierlens.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +28,18 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, folder), hash_all=True)
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    out = bpe.bpe_round_trip(documents(spark, folder), tokenizer_path("word_bpe_49k.json"))
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = substring_dedup.substring_dedup(documents(spark, folder))
     return out.select("doc_id", "n_sentences", "n_removed", "n_chars_removed",
@@ -30,6 +53,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("base_failed", failed)
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = work_folder(spark, "token-files")
+    token_files.write_token_files(documents(spark, folder), files, tokenizer_path("word_bpe_49k.json"))
+    return token_files.read_token_files(spark, files)
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup.line_dedup(documents(spark, folder))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -41,8 +70,11 @@ def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_packing": op3_packing,
+    "op4_bpe": op4_bpe,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_token_files": op7_token_files,
     "op8_line_dedup": op8_line_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
