@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from supplierlens.llm import (
     bpe,
     exact_dedup,
+    html_extract,
     line_dedup,
     minhash_dedup,
     packing,
     quality_rules,
     substring_dedup,
+    token_counts,
     token_files,
 )
-from supplierlens.llm.common import documents
+from supplierlens.llm.common import documents, pages
 from supplierlens.llm.tokens import tokenizer_path
 from supplierlens.session import work_folder
 
@@ -28,6 +30,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, folder), hash_all=True)
 
 
+def op2_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_main_text(pages(spark, folder))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
 
@@ -64,17 +70,26 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    out = token_counts.apply_edits(token_counts.count_trees(documents(spark, folder), path), path)
+    return out.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_segments", "n_recounted",
+                      F.sha2("text", 256).alias("text_sha256"))
+
+
 def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.minhash_dedup(documents(spark, folder), minhash_dedup.Settings(words=4))
 
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_html_extract": op2_html_extract,
     "op3_packing": op3_packing,
     "op4_bpe": op4_bpe,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_files": op7_token_files,
     "op8_line_dedup": op8_line_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_minhash_dedup": op10_minhash_dedup,
 }

@@ -120,6 +120,20 @@ class Encoder:
                 for head, t in zip(heads, lines, strict=True)]
 
 
+    def unit_counts(self, texts: list[str]) -> list[tuple[list[str], np.ndarray]]:
+        """Each text's units, cut at blanks between two other characters, and their numbers of ids.
+
+        Only for a tokenizer that keeps blanks; a unit but the first stands for a blank and
+        its characters.
+        """
+        split = [t.split(" ") if has_even_blanks(t) else _LONE_BLANK.split(t) for t in texts]
+        first = self._words.over([[x[0] for x in split]])
+        heads = [len(first[x[0]]) for x in split]
+        known = self._units.over([x[1:] for x in split])
+        return [(x, np.fromiter([h, *(len(known[u]) for u in x[1:])], np.int64, len(x)) >> 1)
+                for h, x in zip(heads, split, strict=True)]
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
