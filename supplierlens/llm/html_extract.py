@@ -48,6 +48,10 @@ NOISE_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advert
                "respond", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
                "subscribe", "subscription", "teaser", "toolbar", "topbar", "widget", "alert", "toast"}
 CONTENT_WORDS = {"article", "content", "entry", "main", "post", "story", "text"}
+#: Tags that running text is made of.
+_TEXT_TAGS = {"a", "abbr", "b", "blockquote", "br", "cite", "code", "dd", "dl", "dt", "em", "h1", "h2", "h3", "h4", "i",
+              "li", "ol", "p", "pre", "q", "small", "span", "strong", "sub", "sup", "table", "tbody", "td", "th", "tr",
+              "u", "ul"}
 _NEVER_NOISE = {"html", "body", "main", "article"}
 
 _TOKEN = re.compile(
@@ -192,7 +196,7 @@ def parts(page: str) -> list[Part]:
 def _prior(feature: str) -> float:
     """Weight of a word or tag before any page is seen: words positive, tags negative."""
     if not feature.startswith("text"):
-        return -0.2 if feature.lstrip("!/") in ("p", "b", "i", "em", "strong", "br", "span", "h1", "h2", "h3") else -1.0
+        return -0.2 if feature.lstrip("!/") in _TEXT_TAGS else -1.0
     names = set(re.split(r"[. ]", feature.partition(":")[2]))
     if feature.startswith("text!") or names & (NOISE_TAGS | NOISE_WORDS):
         return -MOST
@@ -254,16 +258,17 @@ def _weight(part: Part, weights: dict[str, float]) -> float:
     """A tag's weight, or that of all words of a text.
 
     Inside a marked content element words count at least 1 and tags cost little, so that a
-    list or an advert does not end the region; there noise, which is left out, costs nothing.
+    list does not end the region. Noise is left out of a region's text and costs next to
+    nothing, so that an advert between two paragraphs does not part them.
     """
-    fitted_weight = weights.get(part.feature)
-    weight = _prior(part.feature) if fitted_weight is None else fitted_weight
-    if not part.feature.startswith("text"):
-        return max(weight, -0.2) if part.inside else weight
-    n = len(part.text.split())
+    n = len(part.text.split()) if part.feature.startswith("text") else 1
     if part.noise:
         return 0.0 if part.inside else -0.1 * n
-    return n * (max(weight, 1.0) if part.inside else weight)
+    fitted_weight = weights.get(part.feature)
+    weight = _prior(part.feature) if fitted_weight is None else fitted_weight
+    if part.feature.startswith("text"):
+        return n * (max(weight, 1.0) if part.inside else weight)
+    return max(weight, -0.2) if part.inside else weight
 
 
 def main_text(page: str, weights: dict[str, float]) -> str:
