@@ -135,6 +135,21 @@ def _inline(name: str) -> Column:
     return MEASURES[name](F.col("text"), F.col("words"))
 
 
+def _verdict(ordered: Sequence[Rule], m: Callable[[str], Column]) -> Column:
+    """One CASE: a rule is computed only for texts that all before it let pass."""
+    verdict = F.lit(True)
+    for rule in reversed(ordered):
+        verdict = F.when(rule.rejects(m), F.lit(False)).otherwise(verdict)
+    return verdict
+
+
+def passing(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that no rule rejects; nothing is shuffled."""
+    ordered = order_rules(docs, rules, text_col)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.where(let(words(text), lambda w: _verdict(ordered, lambda name: MEASURES[name](text, w))))
+
+
 def quality_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id",
                     text_col: str = "text", measures: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs``: id, the ``measures`` asked for, kept.
@@ -152,7 +167,4 @@ def quality_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str
     df = base.withColumn("words", words(F.col("text")))
     df = df.select("doc_id", "text", "words", *[_inline(x).alias(x) for x in measures])
     m = lambda name: F.col(name) if name in measures else _inline(name)
-    verdict = F.lit(True)
-    for rule in reversed(ordered):
-        verdict = F.when(rule.rejects(m), F.lit(False)).otherwise(verdict)
-    return df.select("doc_id", *measures, verdict.alias("kept"))
+    return df.select("doc_id", *measures, _verdict(ordered, m).alias("kept"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -81,8 +81,10 @@ def sentence_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_word
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per row of ``docs``: id, text (what is left), n_sentences, n_removed, n_chars_removed.
+                    min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs``: id, text (what is left), n_sentences, n_removed,
+    n_chars_removed, and ``carried``, a struct of the columns named by ``carry``.
 
     A span is a run of consecutive sentences, the shortest from its first sentence on with
     ``min_sentences`` sentences and ``min_words`` words, blanks and the case of A-Z aside. Of
@@ -97,7 +99,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     adaptive execution may split a span that many documents share. A document's covered
     sentences come back as one list, never longer than the document.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
     spans = written(sentence_spans(base.where("doc_id IS NOT NULL"), min_sentences, min_words),
                     "substring-spans")
     place = F.struct("doc_id", "first")
@@ -136,11 +139,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     lost.append(len(whole.decode()) - len(left) if out.any() else 0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int64()),
-                 pa.array(gone, pa.int64()), pa.array(lost, pa.int64())],
-                ["doc_id", "text", "n_sentences", "n_removed", "n_chars_removed"])
+                 pa.array(gone, pa.int64()), pa.array(lost, pa.int64()), batch.column(3)],
+                ["doc_id", "text", "n_sentences", "n_removed", "n_chars_removed", "carried"])
 
     id_type = base.schema["doc_id"].dataType.simpleString()
     return (base.join(covered, base["doc_id"] == covered["in_doc"], "left")
-            .select("doc_id", "text", "runs")
-            .mapInArrow(remaining, f"doc_id {id_type}, text string, n_sentences long, "
-                                   "n_removed long, n_chars_removed long"))
+            .select("doc_id", "text", "runs", "carried")
+            .mapInArrow(remaining, f"doc_id {id_type}, text string, n_sentences long, n_removed long, "
+                                   f"n_chars_removed long, carried {base.schema['carried'].dataType.simpleString()}"))
