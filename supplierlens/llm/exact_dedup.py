@@ -65,9 +65,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     best = F.min(F.struct((-F.col("chars")).alias("shorter"), F.col("doc_id").isNull().alias("no_id"),
                           F.col("doc_id").alias("keep_id")))
-    groups = (hashed.where("shared").groupBy("text_sha256")
-              .agg(best.alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
-              .select(F.col("text_sha256").alias("group_sha"), F.col("best.keep_id").alias("best_id"), "n"))
+    hashed = written(hashed, "exact-dedup-hashes")
+    groups = written(
+        hashed.where("shared").groupBy("text_sha256")
+        .agg(best.alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select(F.col("text_sha256").alias("group_sha"), F.col("best.keep_id").alias("best_id"), "n"),
+        "exact-dedup-groups")
     joined = hashed.join(groups, F.col("text_sha256") == F.col("group_sha"), "left")
     in_group = F.col("n").isNotNull()
     keep = F.when(in_group, F.col("best_id")).otherwise(F.col("doc_id"))
