@@ -7,15 +7,12 @@ from pyspark.sql import functions as F
 
 from supplierlens.functions.numeric import flag, to_double
 from supplierlens.functions.text import upper_key
+from supplierlens.session import written
 
 PRICE_GROUP = ["vendor_match_name", "vendor_match_city", "commercial_part_key",
                "commercial_currency_key", "commercial_uom_key"]
 PRICE_ORDER = ["order_date", "po_number", "line_no", "unit_price"]
 
-# A group may be cut once for about this many rows; a window task sorts one piece.
-ROWS_PER_PIECE = 4_000_000
-
-
 def with_price_keys(po: DataFrame) -> DataFrame:
     po = po.withColumns({
         "unit_price": to_double(po, "unit_price"),
@@ -41,71 +38,42 @@ def _order_struct() -> Column:
     return F.struct(F.col("order_date").isNull().alias("undated"), *PRICE_ORDER)
 
 
-def _cut_points(po: DataFrame, rows_per_piece: int) -> DataFrame:
-    """Order values at which price groups are cut: about one per ``rows_per_piece`` rows.
-
-    A hash of the row's order value picks the points, so the filter runs before any
-    shuffle and a rerun picks the same ones. The result holds about
-    ``rows / rows_per_piece`` values however the rows spread over the groups, which is
-    the size bound that lets it be broadcast. The points only say where to cut; no row
-    is left out of the history.
-    """
-    chosen = F.pmod(F.xxhash64(*PRICE_ORDER), F.lit(rows_per_piece)) == 0
-    return (
-        po.where(chosen)
-        .select(F.xxhash64(*PRICE_GROUP).alias("group_hash"), _order_struct().alias("at"))
-        .groupBy("group_hash").agg(F.array_sort(F.collect_set("at")).alias("cuts"))
-    )
-
+def with_previous_price(po: DataFrame, pieces: int | None = None) -> DataFrame:
+    """``previous_unit_price``: price of the row before in its group, NULL price included.
 
-def with_previous_price(po: DataFrame, rows_per_piece: int | None = ROWS_PER_PIECE) -> DataFrame:
-    """``previous_unit_price``: price of the row before, NULL price included.
+    Rows are dealt out by ranges of (group, order), which cuts a large group into consecutive
+    pieces by itself: Spark picks the bounds from a sample and finds a row's range by binary
+    search, so a row costs the same in a group of any size. ``pieces`` fixes the number of
+    ranges; by default adaptive execution chooses it by size. The dealt rows are written
+    once, since the piece numbers must be read back and not made anew.
 
-    With ``rows_per_piece`` a large group is cut into consecutive pieces that sort in
-    separate tasks, and each piece's first row takes its price from the end of the piece
-    before. Pass None when the whole table is known to be smaller than one piece.
+    Within a piece the row before is a window; a piece's first row of a group takes the price
+    from the end of the group's piece before. Only a group that crosses a border between two
+    ranges has such a row, so there are fewer of them than ranges; that bound, not a size
+    seen, is why they may be broadcast.
     """
-    price = F.col("unit_price")
-    if rows_per_piece is None:
-        w = Window.partitionBy(*PRICE_GROUP).orderBy(*_order_columns())
-        return po.withColumn("previous_unit_price", F.lag(price, 1).over(w))
-
-    # A hash collision between groups merely cuts one more group; the pieces themselves
-    # are keyed by the real columns.
-    cuts = F.broadcast(_cut_points(po, rows_per_piece))
-    pieces = po.withColumn("group_hash", F.xxhash64(*PRICE_GROUP)).withColumn("_at", _order_struct())
-    here = F.size(F.filter("cuts", lambda cut: cut <= F.col("_at")))
-
-    ends = (
-        pieces.join(cuts, "group_hash").withColumn("piece", here)
-        .groupBy(*PRICE_GROUP, "piece").agg(F.max_by(price, "_at").alias("end_price"))
-    )
-    # Pieces per group are few (rows / rows_per_piece), so this window is small.
-    by_piece = Window.partitionBy(*PRICE_GROUP).orderBy("piece")
-    carried = ends.select(*PRICE_GROUP, "piece", F.lag("end_price", 1).over(by_piece)
-                          .alias("carried_price")).where(F.col("carried_price").isNotNull())
-    renamed = F.broadcast(carried.select(*[F.col(c).alias(f"_{c}") for c in PRICE_GROUP + ["piece"]],
-                                         "carried_price"))
-
-    w = Window.partitionBy(*PRICE_GROUP, "piece").orderBy(*_order_columns())
-    lagged = (
-        pieces.join(cuts, "group_hash", "left")
-        .withColumn("piece", F.coalesce(here, F.lit(0))).drop("cuts", "_at", "group_hash")
-        .withColumns({"_lag": F.lag(price, 1).over(w), "_nr": F.row_number().over(w)})
-    )
-    same = F.col("_nr") == 1
-    for c in PRICE_GROUP + ["piece"]:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return (
-        lagged.join(renamed, same, "left")
-        .withColumn("previous_unit_price",
-                    F.when(F.col("_nr") > 1, F.col("_lag")).otherwise(F.col("carried_price")))
-        .drop("_lag", "_nr", "piece", "carried_price", *[f"_{c}" for c in PRICE_GROUP + ["piece"]])
-    )
-
+    by = [*[F.col(c) for c in PRICE_GROUP], *_order_columns()]
+    dealt = po.repartitionByRange(pieces, *by) if pieces else po.repartitionByRange(*by)
+    dealt = written(dealt.withColumn("_piece", F.spark_partition_id()), "price-pieces")
 
-def with_price_history(po: DataFrame, rows_per_piece: int | None = ROWS_PER_PIECE) -> DataFrame:
-    po = with_previous_price(with_price_keys(po), rows_per_piece)
+    price = F.col("unit_price")
+    ends = dealt.groupBy(*PRICE_GROUP, "_piece").agg(F.max_by(price, _order_struct()).alias("_end"))
+    by_piece = Window.partitionBy(*PRICE_GROUP).orderBy("_piece")
+    carried = ends.select(*[F.col(c).alias(f"_{c}") for c in PRICE_GROUP], F.col("_piece").alias("_at"),
+                          F.lag("_end", 1).over(by_piece).alias("_carried")).where("_carried IS NOT NULL")
+
+    w = Window.partitionBy(*PRICE_GROUP, "_piece").orderBy(*_order_columns())
+    lagged = dealt.withColumns({"_lag": F.lag(price, 1).over(w), "_nr": F.row_number().over(w)})
+    first = (F.col("_nr") == 1) & (F.col("_piece") == F.col("_at"))
+    for c in PRICE_GROUP:
+        first = first & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    out = lagged.join(F.broadcast(carried), first, "left")
+    previous = F.when(F.col("_nr") > 1, F.col("_lag")).otherwise(F.col("_carried"))
+    return out.select(*po.columns, previous.alias("previous_unit_price"))
+
+
+def with_price_history(po: DataFrame, pieces: int | None = None) -> DataFrame:
+    po = with_previous_price(with_price_keys(po), pieces)
     price, before = F.col("unit_price"), F.col("previous_unit_price")
     po = po.withColumn("price_comparison_eligible", flag(F.col("commercial_base_eligible") & (before > 0)))
     eligible = F.col("price_comparison_eligible")

@@ -12,7 +12,7 @@ from supplierlens.operators.identity import VENDOR_KEY, with_vendor_identity
 from supplierlens.operators.scoring import score_vendors
 from supplierlens.operators.vendor_summary import join_ncrs, summarize_ncrs, summarize_orders
 from supplierlens.plans.reports import long_form
-from supplierlens.plans.scorecard import Datasets, fits_one_piece, prepare_ncrs, prepare_orders
+from supplierlens.plans.scorecard import Datasets, prepare_ncrs, prepare_orders
 from supplierlens.sources import extracts, ingest
 from supplierlens.sources import sampledata as sample
 
@@ -40,8 +40,7 @@ def load_system(spark: SparkSession, folder: str, scope: extracts.Scope = EVERYT
     vendors = extracts.vendor_extract(companies, sample.supplier_records(t),
                                       t.lineitem.select(F.col("l_suppkey").alias("company_id")),
                                       vendor_scope).withColumnRenamed("company_name", "vendor_name")
-    return Datasets(ingest.clean_purchase_orders(po), ingest.clean_ncrs(ncrs), items, vendors,
-                    small=fits_one_piece(t.lineitem))
+    return Datasets(ingest.clean_purchase_orders(po), ingest.clean_ncrs(ncrs), items, vendors)
 
 
 def stage_totals(data: Datasets) -> DataFrame:

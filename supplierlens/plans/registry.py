@@ -375,9 +375,7 @@ def _(spark, folder):
 
 
 def _priced(spark, folder):
-    small = cards.fits_one_piece(_tables(spark, folder).lineitem)
-    return pricing.with_price_history(_identified(spark, folder),
-                                      None if small else pricing.ROWS_PER_PIECE)
+    return pricing.with_price_history(_identified(spark, folder))
 
 
 @query("price_history")

@@ -11,7 +11,7 @@ from supplierlens.operators.delivery import with_delivery
 from supplierlens.operators.identity import with_vendor_identity
 from supplierlens.operators.lead_time import with_lead_time
 from supplierlens.operators.ncr import with_ncr_measures
-from supplierlens.operators.pricing import ROWS_PER_PIECE, with_price_history
+from supplierlens.operators.pricing import with_price_history
 from supplierlens.operators.scoring import load_rules, score_vendors
 from supplierlens.operators.vendor_summary import (
     join_ncrs,
@@ -25,13 +25,12 @@ from supplierlens.sources import sampledata as sample
 
 @dataclass
 class Datasets:
-    """The four cleaned datasets. ``small`` says that no price group can exceed a piece."""
+    """The four cleaned datasets."""
 
     purchase_orders: DataFrame
     ncrs: DataFrame
     items: DataFrame
     vendors: DataFrame
-    small: bool = False
 
 
 def load_sample(spark: SparkSession, folder: str) -> Datasets:
@@ -41,21 +40,12 @@ def load_sample(spark: SparkSession, folder: str) -> Datasets:
         ingest.clean_ncrs(sample.ncrs_raw(t)),
         ingest.clean_items(sample.items_raw(t)),
         sample.vendors_raw(t),
-        small=fits_one_piece(t.lineitem),
     )
 
 
-def fits_one_piece(base: DataFrame) -> bool:
-    """Whether the base table is smaller than one piece of price history.
-
-    Counting an unfiltered Parquet table reads file footers only.
-    """
-    return base.count() <= ROWS_PER_PIECE
-
-
 def prepare_orders(data: Datasets) -> DataFrame:
     po = with_lead_time(with_delivery(with_vendor_identity(data.purchase_orders)), data.items)
-    return with_price_history(po, None if data.small else ROWS_PER_PIECE)
+    return with_price_history(po)
 
 
 def prepare_ncrs(data: Datasets) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", name: str = "supplierlens", **extra: str) -> SparkSession:
@@ -38,3 +38,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="supplierlens-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that it is computed once and its
+    rows stay the same however often they are read and whichever executor is lost."""
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
