@@ -48,7 +48,8 @@ SELECT po_number, line_no, part_id, supplier_company_id, seq AS receipt_seq,
        last_receipt_date - to_days(CAST((2 - seq) * 3 AS INTEGER)) AS receipt_date,
        CASE WHEN seq = 1 THEN floor(received_qty / 2)
             ELSE received_qty - floor(received_qty / 2)
-                 + CASE WHEN part_id % 31 = 0 THEN 1 WHEN part_id % 37 = 0 THEN -1 ELSE 0 END END AS qty
+                 + CASE WHEN part_id % 31 = 0 THEN 1 WHEN part_id % 37 = 0 THEN -1 ELSE 0 END
+                 + CASE WHEN line_no < 6 THEN floor(received_qty / 2) ELSE 0 END END AS qty
 FROM o_lines, (VALUES (1), (2)) AS v(seq)
 WHERE received_qty > 0 AND (seq = 2 OR line_no >= 6)"""
 

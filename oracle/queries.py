@@ -19,9 +19,6 @@ def longs(pairs: dict[str, str], source: str, name: str = "measure", value: str
 
 
 # --- sources and contracts ---
-SQL["src_load_contract"] = """
-SELECT po_number, line_no, part_number, vendor_name, ordered_qty, uom, order_date,
-       CAST(NULL AS DOUBLE) AS currency_rate, CAST(NULL AS TIMESTAMP) AS receiving_date FROM o_sheet"""
 _HEADER = "part_number IS NULL AND vendor_name IS NULL AND ordered_qty IS NULL AND order_date IS NULL"
 _BAD = ("po_number IS NULL OR vendor_name IS NULL OR part_number IS NULL OR ordered_qty IS NULL "
         "OR order_date IS NULL")
@@ -33,7 +30,7 @@ SQL["po_type_contract"] = " UNION ALL ".join(
     for k, cs in (("numeric", ("ordered_qty", "received_qty", "unit_price", "extended_value")),
                   ("datetime", ("order_date", "required_date", "revised_date", "last_receipt_date")))
     for c in cs)
-SQL["coerce_numeric"] = "SELECT part_number, lead_time_text, lead_time, round(list_price, 6) AS list_price FROM o_items"
+SQL["coerce_numeric"] = "SELECT part_number, lead_time_text, lead_time, list_price FROM o_items"
 SQL["coerce_datetime"] = """
 SELECT o_orderkey AS po_number,
        CASE WHEN o_orderstatus = 'P' THEN 'week ' || month(o_orderdate)
@@ -67,9 +64,14 @@ _CONTRACTS = {
     "vendors": ("o_vendors", "company_id vendor_name address_line_1 city state_province postal_code",
         "address_line_2 country"),
 }
+SQL["src_load_contract"] = " UNION ALL ".join(
+    f"SELECT '{d}' AS table_name, '{c}' AS column_name, count(*) AS rows_total, "
+    f"count({c if have else 'NULL'}) AS rows_populated FROM {src}"
+    for d, (src, present, absent) in _CONTRACTS.items()
+    for have, names in ((True, present), (False, absent)) for c in names.split())
 SQL["contract_gaps"] = " UNION ALL ".join(
     f"SELECT '{d}' AS dataset, '{c}' AS column_name, {have} AS resolved, FALSE AS blocking, "
-    + (f"count({c})" if have else "CAST(0 AS BIGINT)") + f" AS rows_populated FROM {src}"
+    + f"count({c if have else 'NULL'})" + f" AS rows_populated FROM {src}"
     for d, (src, present, absent) in _CONTRACTS.items()
     for have, names in ((True, present), (False, absent)) for c in names.split())
 SQL["po_extract"] = f"""
@@ -79,7 +81,8 @@ FROM o_system s JOIN (SELECT {LINE}, received_qty FROM o_lines) l USING ({LINE})
 LEFT JOIN customer ON c_custkey = project_number
 LEFT JOIN o_companies k ON k.company_id = supplier_company_id"""
 SQL["receipt_basis"] = f"""
-SELECT {LINE}, received_qty, log_received_qty, last_receipt_date, log_last_receipt FROM o_facts"""
+SELECT 'log' AS basis, {LINE}, log_received_qty AS received_qty, log_last_receipt AS last_receipt_date FROM o_facts
+UNION ALL SELECT 'line', {LINE}, received_qty, last_receipt_date FROM o_facts"""
 _SCOPE = "header_active AND coalesce(archived, 0) = 0 AND (printed OR emailed)"
 SQL["po_scope"] = f"""
 SELECT {LINE}, order_date, buyer FROM o_lines
@@ -101,10 +104,11 @@ def scopes(pairs: dict[str, str], source: str, value: str, label: str = "scope")
         for name, cond in pairs.items())
 
 
-SQL["vendor_scope"] = scopes({
-    "active_with_address": "active AND located", "supplier_table": "supplier_record",
-    "active_suppliers": "supplier_record AND active", "purchased_from": "bought", "all_companies": "TRUE",
-}, "o_company_facts", "companies")
+SQL["vendor_scope"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS scope, company_id, company_name, city FROM o_company_facts WHERE {w}"
+    for n, w in (("active_with_address", "active AND located"), ("supplier_table", "supplier_record"),
+                 ("active_suppliers", "supplier_record AND active"), ("purchased_from", "bought"),
+                 ("all_companies", "TRUE")))
 SQL["supplier_display_name"] = "SELECT company_id, looked_up, display_name FROM o_shown"
 SQL["receipt_rollup"] = "SELECT * FROM o_rollup"
 SQL["sink_scorecard_tables"] = """
@@ -181,8 +185,8 @@ SELECT count(*) AS po_rows,
        count(*) FILTER (lead_time_adherent) AS lead_time_adherent,
        count(*) FILTER (lead_time_eligible AND NOT lead_time_adherent) AS lead_time_non_adherent FROM o_a_lead"""
 SQL["price_history"] = f"""
-SELECT {LINE}, {r('unit_price')}, commercial_part_key, commercial_currency_key, commercial_uom_key,
-       commercial_base_eligible, {r('previous_unit_price')}, price_comparison_eligible, {r('price_change_pct')},
+SELECT {LINE}, unit_price, commercial_part_key, commercial_currency_key, commercial_uom_key,
+       commercial_base_eligible, previous_unit_price, price_comparison_eligible, {r('price_change_pct')},
        price_stable, price_increased FROM o_a_price"""
 SQL["commercial_controls"] = """
 SELECT count(*) AS po_rows, count(*) FILTER (commercial_base_eligible) AS commercial_base_eligible,
@@ -333,7 +337,9 @@ SQL["vendor_supporting_detail"] = " UNION ALL ".join(
 SQL["top_scored_vendor"] = f"""
 SELECT vendor_key, {CARD} FROM (SELECT * FROM o_labelled WHERE prototype_overall_score IS NOT NULL
 ORDER BY prototype_overall_score DESC, vendor_match_name NULLS LAST, vendor_match_city NULLS LAST LIMIT 1)"""
-SQL["vendor_picker"] = "SELECT DISTINCT vendor_key FROM o_labelled"
+SQL["vendor_picker"] = """
+SELECT vendor_key FROM (SELECT DISTINCT vendor_key, vendor_match_name, vendor_match_city FROM o_labelled)
+ORDER BY vendor_match_name NULLS LAST, vendor_match_city NULLS LAST"""
 SQL["unmatched_ncr_export"] = f"""
 SELECT {KEY}, ncr_number, po_number, line_no, part_id, supplier_company_id, part_number, vendor_name, quantity,
        quantity_rejected, resolved, released, created_date, ncr_active, supplier_linked, ncr_quantity_anomaly,
@@ -429,19 +435,38 @@ SELECT count(*) FILTER (side = 'both') AS in_both, count(*) FILTER (side = 'both
 SQL["recon_top_diffs"] = f"""
 SELECT * FROM ({_DIFF}) WHERE abs_diff > 0 OR side <> 'both'
 ORDER BY abs_diff DESC, vendor_match_name NULLS LAST, vendor_match_city NULLS LAST LIMIT 25"""
-_PARITY = ("project_number ordered_qty part_number vendor_name unit_price required_date revised_date "
-           "last_receipt_date uom received_qty order_date extended_value currency_code").split()
-SQL["dataset_parity"] = f"""
-WITH sheet AS (SELECT * FROM o_sheet WHERE NOT ({_BAD})),
-     joined AS (SELECT a.po_number IS NOT NULL AS in_a, b.po_number IS NOT NULL AS in_b,
-                       {', '.join(f'a.{c} AS {c}_a, b.{c} AS {c}_b' for c in _PARITY)}
-                FROM sheet a FULL JOIN o_b_po b ON a.po_number = b.po_number AND a.line_no = b.line_no
-                 AND a.part_id = b.part_id AND a.supplier_company_id = b.supplier_company_id)
-""" + " UNION ALL ".join(
-    f"SELECT count(*) FILTER (in_a AND in_b) AS compared, count(*) FILTER (NOT in_b) AS only_left, "
-    f"count(*) FILTER (NOT in_a) AS only_right, '{c}' AS column_name, "
-    f"count(*) FILTER (in_a AND in_b AND {c}_a IS DISTINCT FROM {c}_b) AS mismatches, TRUE AS same_type, "
-    f"{c == 'received_qty'} AS documented FROM joined" for c in _PARITY)
+_TEXTS = {"part_number", "vendor_name", "uom", "currency_code", "description", "category", "address_line_1", "city",
+          "state_province", "postal_code"}
+
+
+def parity(dataset: str, left: str, right: str, key: str, columns: str) -> str:
+    keys, names = key.split(), columns.split()
+    shown = {c: f"trim({{}}.{c})" if c in _TEXTS else f"{{}}.{c}" for c in names}
+    joined = (f"(SELECT a.{keys[0]} IS NOT NULL AS in_a, b.{keys[0]} IS NOT NULL AS in_b, "
+              + ", ".join(f"{x.format('a')} AS {c}_a, {x.format('b')} AS {c}_b" for c, x in shown.items())
+              + f" FROM {left} a FULL JOIN {right} b ON " + " AND ".join(f"a.{k} = b.{k}" for k in keys) + ")")
+    out = []
+    for c in names:
+        off = f"in_a AND in_b AND {c}_a IS DISTINCT FROM {c}_b"
+        known = f"coalesce({c}_a, 0) = 0 AND coalesce({c}_b, 0) = 0" if c == "received_qty" else "FALSE"
+        out.append(
+            "SELECT count(*) FILTER (in_a AND in_b) AS compared, count(*) FILTER (NOT in_b) AS only_left, "
+            f"count(*) FILTER (NOT in_a) AS only_right, '{dataset}' AS dataset, '{c}' AS column_name, TRUE AS same_type, "
+            f"count(*) FILTER ({off} AND {known}) AS documented, "
+            f"count(*) FILTER ({off} AND NOT ({known})) AS undocumented FROM {joined}")
+    return " UNION ALL ".join(out)
+
+
+SQL["dataset_parity"] = " UNION ALL ".join((
+    parity("purchase_orders", f"(SELECT * FROM o_sheet WHERE NOT ({_BAD}))", "o_b_po", LINE.replace(",", ""),
+           "project_number ordered_qty part_number vendor_name unit_price required_date revised_date "
+           "last_receipt_date uom received_qty order_date extended_value currency_code"),
+    parity("ncrs", "o_ncr", "o_ncr", "ncr_number",
+           "resolved released po_number part_number quantity quantity_rejected created_date vendor_name"),
+    parity("items", "o_items", "o_system_items", "part_number", "description category list_price lead_time"),
+    parity("vendors", "o_vendors", "(SELECT company_id, company_name AS vendor_name, address_line_1, city, postal_code "
+           "FROM o_company_facts WHERE active AND located)", "company_id",
+           "vendor_name address_line_1 city postal_code")))
 
 
 def downstream(tag: str) -> str:
@@ -563,10 +588,10 @@ SELECT count(*) AS compared, count(*) FILTER (vendor_name = supplier_display_nam
        count(*) FILTER (vendor_name <> supplier_display_name) AS mismatch FROM o_ncr_facts WHERE vendor_name IS NOT NULL"""
 SQL["name_rebuild_mismatches"] = """
 SELECT DISTINCT supplier_company_id, vendor_name, supplier_display_name FROM o_ncr_facts
-WHERE vendor_name <> supplier_display_name ORDER BY 1, 2 LIMIT 25"""
+WHERE vendor_name <> supplier_display_name ORDER BY 1, 2"""
 SQL["ncr_po_supplier_disagreement"] = """
 SELECT ncr_number, vendor_name AS ncr_supplier, po_vendor_name AS po_supplier FROM o_ncr_facts
-WHERE ncr_active AND vendor_name <> po_vendor_name ORDER BY ncr_number LIMIT 20"""
+WHERE ncr_active AND vendor_name <> po_vendor_name ORDER BY ncr_number"""
 SQL["vendor_population_scopes"] = scopes({
     "all companies": "TRUE", "in supplier table": "supplier_record", "purchased from (any PO)": "bought",
     "in supplier table and active": "supplier_record AND active", "active (any company)": "active",
@@ -590,7 +615,7 @@ SQL["key_uniqueness"] = """
 SELECT count(*) AS rows_returned, count(DISTINCT company_id) AS distinct_keys,
        count(*) - count(DISTINCT company_id) AS duplicate_keys FROM o_companies WHERE directory_name IS NOT NULL"""
 SQL["name_suffix_distribution"] = """
-SELECT CASE WHEN instr(directory_name, ' (') > 0 THEN substr(directory_name, instr(directory_name, ' ('), 40)
+SELECT CASE WHEN instr(directory_name, ' (') > 0 THEN substr(directory_name, instr(directory_name, ' ('))
             ELSE '(none)' END AS status_suffix, count(*) AS companies FROM o_companies WHERE directory_name IS NOT NULL GROUP BY 1"""
 SQL["bracket_names"] = r"""
 SELECT count(*) FILTER (regexp_matches(directory_name, '\[[^\]]+\]')) AS with_bracket,
@@ -626,16 +651,23 @@ _SHEET = """po_number line_no part_id supplier_company_id part_number vendor_nam
     header_required_date header_revised_date required_date revised_date last_receipt_date""".split()
 _NCRS = """ncr_number po_number line_no part_id supplier_company_id part_number vendor_name quantity quantity_rejected
     resolved released created_date ncr_active""".split()
+_ITEMS = "item_id part_number description category list_price lead_time".split()
+_VENDORS = "company_id vendor_name address_line_1 city state_province postal_code".split()
 SQL["column_population"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows_total, "
     f"count({'resolved_text' if c == 'resolved' else c}) AS rows_populated FROM {s}"
-    for t, s, cs in (("purchase_orders", "o_sheet", _SHEET), ("ncrs", "o_ncr_source", _NCRS)) for c in cs)
+    for t, s, cs in (("purchase_orders", "o_sheet", _SHEET), ("ncrs", "o_ncr_source", _NCRS),
+        ("items", "(SELECT * REPLACE (lead_time_text AS lead_time) FROM o_items)", _ITEMS),
+        ("vendors", "o_vendors", _VENDORS)) for c in cs)
 _HITS = {("purchase_orders", "o_sheet"): {
     "part number": "part_number", "unit of measure": "uom", "quantity": "ordered_qty received_qty",
     "supplier": "supplier_company_id vendor_name",
     "need-by date": "required_date revised_date header_required_date header_revised_date",
     "receipt date": "received_qty last_receipt_date"},
-    ("items", "o_items"): {"part number": "part_number"}}
+    ("ncrs", "o_ncr_source"): {"part number": "part_number", "quantity": "quantity quantity_rejected",
+                               "supplier": "supplier_company_id vendor_name"},
+    ("items", "o_items"): {"part number": "part_number"},
+    ("vendors", "o_vendors"): {"supplier": "vendor_name"}}
 SQL["column_candidates"] = " UNION ALL ".join(
     f"SELECT '{f}' AS field, '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows_total, "
     f"count({c}) AS rows_populated FROM {s}"

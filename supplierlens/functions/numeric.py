@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from supplierlens.functions.text import upper_key
+
 # Fixed value: text that counts as a number. Without the guard a cast would also
 # accept '12d' and 'nan'.
 NUMBER_TEXT = (
@@ -65,17 +67,17 @@ def part_key(df: DataFrame, name: str = "part_number") -> Column:
                 F.upper(x.cast("string"))
             ),
         )
-    key = F.upper(F.regexp_replace(x.cast("string"), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
+    key = upper_key(x)
     return F.when(key != "", key)
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double so results compare across engines and plan shapes."""
-    return df.select(
-        *[
-            F.round(F.col(f.name), digits).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def rounded(df: DataFrame, stored: frozenset[str], digits: int = 6) -> DataFrame:
+    """Round derived doubles, so that results compare across engines and plan shapes.
+
+    Averages, percentages and scores depend on the order of additions in their last digits;
+    ``stored`` values do not and stay as they are.
+    """
+    return df.select(*[
+        F.round(F.col(f.name), digits).alias(f.name)
+        if isinstance(f.dataType, T.DoubleType) and f.name not in stored else F.col(f.name)
+        for f in df.schema.fields])

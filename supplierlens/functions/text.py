@@ -55,7 +55,7 @@ def display_name(looked_up: Column, name: Column, city: Column) -> Column:
     return F.coalesce(looked_up, F.concat(name, located))
 
 
-def status_suffix(name: Column, width: int = 40) -> Column:
-    """Text from the first ' (' onwards, at most ``width`` characters."""
+def status_suffix(name: Column) -> Column:
+    """Text from the first ' (' onwards, whole."""
     at = F.instr(name, " (")
-    return F.when(at > 0, F.substring(name, at, F.lit(width))).otherwise("(none)")
+    return F.when(at > 0, F.substring(name, at, F.length(name))).otherwise("(none)")

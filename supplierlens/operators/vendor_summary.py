@@ -120,10 +120,10 @@ def match_totals(orders: DataFrame, ncrs: DataFrame) -> DataFrame:
     )
 
 
-def join_ncrs(orders: DataFrame, ncrs: DataFrame) -> DataFrame:
+def join_ncrs(orders: DataFrame, ncrs: DataFrame, how: str = "left") -> DataFrame:
     """NCR measures onto vendors. Without any NCR the sums are 0; with NCRs but no valid
-    quantity they stay missing."""
-    out = orders.join(ncrs, VENDOR_KEY, "left")
+    quantity they stay missing. ``how="full_outer"`` keeps NCR groups without a vendor."""
+    out = orders.join(ncrs, VENDOR_KEY, how)
     none = F.col("supplier_linked_ncr_count").isNull()
     fixed = {c: F.when(none, F.lit(0.0)).otherwise(F.col(c)) for c in NCR_SUMS}
     fixed |= {c: F.coalesce(F.col(c), F.lit(0)) for c in NCR_COUNTS}

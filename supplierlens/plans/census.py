@@ -378,20 +378,20 @@ def name_agreement(ncrs: DataFrame) -> DataFrame:
         F.count_if(mine != theirs).alias("mismatch"))
 
 
-def name_mismatches(ncrs: DataFrame, rows: int = 25) -> DataFrame:
+def name_mismatches(ncrs: DataFrame) -> DataFrame:
     return (
         ncrs.where(F.col("vendor_name") != F.col("supplier_display_name"))
         .select("supplier_company_id", "vendor_name", "supplier_display_name").distinct()
-        .orderBy("supplier_company_id", "vendor_name").limit(rows)
+        .orderBy("supplier_company_id", "vendor_name")
     )
 
 
-def po_supplier_disagreement(ncrs: DataFrame, rows: int = 20) -> DataFrame:
+def po_supplier_disagreement(ncrs: DataFrame) -> DataFrame:
     return (
         ncrs.where(F.col("ncr_active") & (F.col("vendor_name") != F.col("po_vendor_name")))
         .select("ncr_number", F.col("vendor_name").alias("ncr_supplier"),
                 F.col("po_vendor_name").alias("po_supplier"))
-        .orderBy("ncr_number").limit(rows)
+        .orderBy("ncr_number")
     )
 
 
@@ -436,18 +436,6 @@ def vendor_populations(companies: DataFrame) -> DataFrame:
     }, value="companies")
 
 
-def extract_scope_counts(companies: DataFrame) -> DataFrame:
-    """Rows of the vendor master under each of its five scopes."""
-    on, sup = F.col("active"), F.col("supplier_record")
-    return count_scopes(companies, {
-        "active_with_address": on & extracts.has_address(),
-        "supplier_table": sup,
-        "active_suppliers": sup & on,
-        "purchased_from": F.col("purchased_from"),
-        "all_companies": F.lit(True),
-    }, value="companies")
-
-
 def vendor_scope_fingerprint(companies: DataFrame) -> DataFrame:
     on, address = F.col("active"), ~is_blank(F.col("address_line_1"))
     scopes = {"active and has address": on & address, "has address (any status)": address,

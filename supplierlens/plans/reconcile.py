@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from supplierlens.functions.numeric import no_nan, text_to_double
 from supplierlens.functions.text import strip
-from supplierlens.operators.identity import VENDOR_KEY, with_vendor_identity
+from supplierlens.operators.identity import VENDOR_KEY
 from supplierlens.operators.scoring import score_vendors
 from supplierlens.operators.vendor_summary import join_ncrs, summarize_ncrs, summarize_orders
 from supplierlens.plans.reports import long_form
@@ -20,8 +20,8 @@ from supplierlens.sources import sampledata as sample
 COMPARED = ["po_transaction_count", "delivery_eligible_count", "on_time_count", "late_count",
             "lead_time_eligible_count", "price_comparison_count", "price_stable_count"]
 
-# A blank receipt in one source is a zero in the other; everything downstream agrees.
-KNOWN_DIFFERENCES = {("purchase_orders", "received_qty")}
+# Fixed value: a blank receipt in one source is a zero in the other; everything downstream agrees.
+BLANK_IS_ZERO = {("purchase_orders", "received_qty")}
 
 EVERYTHING = extracts.Scope(active_only=False, exclude_archived=False, issued_only=False)
 
@@ -49,19 +49,18 @@ def stage_totals(data: Datasets) -> DataFrame:
     items = data.items.agg(F.count(F.lit(1)).alias("Item Master rows"),
                            F.count("lead_time").alias("Items with lead time"))
     vendors = data.vendors.agg(F.count(F.lit(1)).alias("Vendor Master rows"))
-    # Distinct counts need identity only, so they are taken before the item join and the
-    # price window; a struct key makes a missing city a value of its own.
-    lines = po.agg(
-        F.count(F.lit(1)).alias("PO rows (valid)"),
-        F.count_if("delivery_eligible").alias("Delivery eligible"),
-        F.count_if("on_time").alias("On-time"), F.count_if("late").alias("Late"),
-        F.count_if("lead_time_eligible").alias("Lead-time eligible"),
-        F.count_if("commercial_base_eligible").alias("Commercial base-eligible"),
-        F.count_if("price_comparison_eligible").alias("Price comparisons"),
-        F.count_if("price_stable").alias("Price stable"))
-    keys = with_vendor_identity(data.purchase_orders).agg(
-        F.count_distinct("po_number").alias("Distinct POs"),
-        F.count_distinct(F.struct(*VENDOR_KEY)).alias("Vendor+Location rows"))
+    # Lines are counted per vendor first; those rows are few, and counting them is the number
+    # of vendors. Only the distinct orders need a second look at the lines, at one column.
+    sums = {"PO rows (valid)": F.count(F.lit(1)), "Delivery eligible": F.count_if("delivery_eligible"),
+            "On-time": F.count_if("on_time"), "Late": F.count_if("late"),
+            "Lead-time eligible": F.count_if("lead_time_eligible"),
+            "Commercial base-eligible": F.count_if("commercial_base_eligible"),
+            "Price comparisons": F.count_if("price_comparison_eligible"),
+            "Price stable": F.count_if("price_stable")}
+    per_vendor = po.groupBy(*VENDOR_KEY).agg(*[x.alias(c) for c, x in sums.items()])
+    lines = per_vendor.agg(*[F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in sums],
+                           F.count(F.lit(1)).alias("Vendor+Location rows"))
+    keys = data.purchase_orders.agg(F.count_distinct("po_number").alias("Distinct POs"))
     records = ncrs.agg(
         F.count(F.lit(1)).alias("NCR rows"),
         F.count_if("supplier_linked").alias("Supplier-linked NCRs"),
@@ -165,23 +164,37 @@ def canonical(df: DataFrame, name: str) -> Column:
 
 def dataset_parity(dataset: str, left: DataFrame, right: DataFrame, key: list[str],
                    columns: list[str]) -> DataFrame:
-    """Per column, how many rows of the joined datasets disagree; the key must be unique."""
+    """Per column, how many rows of the joined datasets disagree; the key must be unique.
+
+    A difference is documented where a known rule explains that row: blank against zero.
+    """
     def side(df: DataFrame, tag: str) -> DataFrame:
         return df.select(*key, F.lit(True).alias(f"in_{tag}"),
                          *[canonical(df, c).alias(f"{c}_{tag}") for c in columns])
 
     joined = side(left, "left").join(side(right, "right"), key, "full_outer")
     both = F.col("in_left").isNotNull() & F.col("in_right").isNotNull()
+
+    def differs(c: str) -> Column:
+        return both & ~F.col(f"{c}_left").eqNullSafe(F.col(f"{c}_right"))
+
+    def explained(c: str) -> Column:
+        if (dataset, c) not in BLANK_IS_ZERO:
+            return F.lit(False)
+        a, b = (F.coalesce(F.col(f"{c}_{tag}").try_cast("double"), F.lit(0.0)) for tag in ("left", "right"))
+        return (a == 0) & (b == 0)
+
     counts = joined.agg(
         F.count_if(both).alias("compared"),
         F.count_if(F.col("in_right").isNull()).alias("only_left"),
         F.count_if(F.col("in_left").isNull()).alias("only_right"),
-        *[F.count_if(both & ~F.col(f"{c}_left").eqNullSafe(F.col(f"{c}_right"))).alias(c)
-          for c in columns])
+        *[F.count_if(differs(c)).alias(f"{c}_all") for c in columns],
+        *[F.count_if(differs(c) & explained(c)).alias(f"{c}_known") for c in columns])
     rows = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("mismatches"),
+        F.struct(F.lit(dataset).alias("dataset"), F.lit(c).alias("column_name"),
                  F.lit(left.schema[c].dataType == right.schema[c].dataType).alias("same_type"),
-                 F.lit((dataset, c) in KNOWN_DIFFERENCES).alias("documented"))
+                 F.col(f"{c}_known").alias("documented"),
+                 (F.col(f"{c}_all") - F.col(f"{c}_known")).alias("undocumented"))
         for c in columns
     ]
     return counts.select("compared", "only_left", "only_right", F.inline(F.array(*rows)))

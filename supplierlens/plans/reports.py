@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,7 +102,7 @@ PREVIEW_COLUMNS = [
     "prototype_overall_score", "prototype_overall_grade", "prototype_overall_status",
 ]
 
-# What the notes say about each component.
+# What the notes say about each component.
 COMPONENT_NOTES = {
     "on_time_delivery": "On-time share of fully received PO rows with a target and a receipt date; "
                         "the target is the revised date, else the required date.",
@@ -115,9 +116,9 @@ COMPONENT_NOTES = {
 }
 
 
-def existing(df: DataFrame, wanted: list[str], fallback: int = 8) -> list[str]:
-    """The wanted columns that exist, else the first few there are."""
-    return [c for c in wanted if c in df.columns] or df.columns[:fallback]
+def existing(df: DataFrame, wanted: list[str]) -> list[str]:
+    """The wanted columns that exist, else all there are."""
+    return [c for c in wanted if c in df.columns] or df.columns
 
 
 def with_vendor_label(card: DataFrame) -> DataFrame:
@@ -139,14 +140,16 @@ def long_form(row: DataFrame, name: str = "measure", value: str = "value") -> Da
 def _cards_and_strays(data: Datasets, rules: dict | None) -> DataFrame:
     """Scored vendors plus the NCR groups without a vendor, told apart by ``is_vendor``.
 
-    One full join at vendor grain gives totals of both sides from a single pass.
+    One full outer join at vendor grain gives totals of both sides; lines are read once.
     """
     orders = order_summary(data).withColumn("is_vendor", F.lit(True))
-    ncrs = summarize_ncrs(prepare_ncrs(data))
-    cards = score_vendors(join_ncrs(orders, ncrs), rules or load_rules())
-    keys = orders.select(*VENDOR_KEY)
-    strays = ncrs.join(keys, VENDOR_KEY, "left_anti").withColumn("is_vendor", F.lit(False))
-    return cards.unionByName(strays, allowMissingColumns=True)
+    joined = join_ncrs(orders, summarize_ncrs(prepare_ncrs(data)), "full_outer")
+    joined = joined.withColumn("is_vendor", F.coalesce("is_vendor", F.lit(False)))
+    return score_vendors(joined, rules or load_rules())
+
+
+def _scored_vendors() -> Column:
+    return F.count(F.when(F.col("is_vendor"), F.col("prototype_overall_score")))
 
 
 def _ncr_count(condition: Column) -> Column:
@@ -158,7 +161,7 @@ def dashboard_counts(data: Datasets, rules: dict | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("total_vendors"),
         F.count_if("review_required").alias("vendor_review_count"))
     cards = _cards_and_strays(data, rules).agg(
-        F.count("prototype_overall_score").alias("scored_vendors"),
+        _scored_vendors().alias("scored_vendors"),
         F.count_if("is_vendor").alias("total_scorecard_rows"),
         _ncr_count(~F.col("is_vendor")).alias("unmatched_ncr_count"))
     return long_form(vendors).unionByName(long_form(cards))
@@ -200,9 +203,8 @@ def vendor_list(card: DataFrame, search: str = "") -> DataFrame:
 
 
 def vendor_detail(card: DataFrame, name: str, city: str = "") -> DataFrame:
-    """The one row of a vendor and city; a missing city is addressed as ''."""
-    return card.where((F.coalesce(NAME, F.lit("")) == name)
-                      & (F.coalesce(CITY, F.lit("")) == city)).limit(1)
+    """The row of a vendor and city; a missing city is addressed as ''."""
+    return card.where((F.coalesce(NAME, F.lit("")) == name) & (F.coalesce(CITY, F.lit("")) == city))
 
 
 def review_vendors(vendors: DataFrame) -> DataFrame:
@@ -258,7 +260,9 @@ def top_scored_vendor(card: DataFrame) -> DataFrame:
 
 
 def vendor_picker(card: DataFrame) -> DataFrame:
-    return with_vendor_label(card).select("vendor_key").distinct().orderBy("vendor_key")
+    """Labels in the order of the scorecard: name, then city, missing ones last."""
+    labels = with_vendor_label(card).select("vendor_key", NAME, CITY).distinct()
+    return labels.orderBy(*by_vendor()).select("vendor_key")
 
 
 def rules_notes(spark: SparkSession, rules: dict) -> DataFrame:
@@ -347,7 +351,7 @@ def final_controls(data: Datasets, rules: dict | None = None) -> DataFrame:
         total("price_comparison_count"),
         _ncr_count(vendor).alias("matched_ncrs"), _ncr_count(~vendor).alias("unmatched_ncrs"),
         _ncr_count(F.lit(True)).alias("ncrs_accounted_for"),
-        F.count("prototype_overall_score").alias("scored_vendors")))
+        _scored_vendors().alias("scored_vendors")))
 
 
 def aggregation_controls(po: DataFrame, orders: DataFrame) -> DataFrame:
@@ -379,21 +383,34 @@ def write_result_tables(spark: SparkSession, card: DataFrame, strays: DataFrame,
     }, folder, fmt)
 
 
+def _current_snapshot(spark: SparkSession, path: str) -> tuple[str, dt.datetime] | None:
+    """Folder and time of the newest snapshot below ``path``."""
+    try:
+        newest = spark.read.parquet(f"{path}/pointer").agg(
+            F.max(F.struct("refreshed_at", "folder")).alias("newest")).first()[0]
+    except AnalysisException:
+        return None
+    return newest and (newest["folder"], newest["refreshed_at"])
+
+
 def snapshot_is_fresh(spark: SparkSession, path: str, now: dt.datetime, max_age_minutes: int = 15) -> bool:
-    """Whether the snapshot below ``path`` exists and is younger than the limit."""
+    """Whether a snapshot below ``path`` exists and is younger than the limit."""
     if max_age_minutes <= 0:
         raise ValueError("max_age_minutes must be greater than zero")
-    try:
-        written = spark.read.parquet(path).agg(F.max("refreshed_at")).first()[0]
-    except AnalysisException:
-        return False
-    return written is not None and (now - written) < dt.timedelta(minutes=max_age_minutes)
+    newest = _current_snapshot(spark, path)
+    return newest is not None and (now - newest[1]) < dt.timedelta(minutes=max_age_minutes)
 
 
 def refresh_snapshot(spark: SparkSession, card: DataFrame, path: str, now: dt.datetime,
                      max_age_minutes: int = 15, force: bool = False) -> DataFrame:
-    """The stored scorecard, rebuilt when it is missing, too old, or on demand."""
+    """The stored scorecard, rebuilt when it is missing, too old, or on demand.
+
+    Each snapshot has a folder of its own, and a row is appended to the pointer table when it
+    is complete: readers keep the one they have open, and a failed write changes nothing.
+    """
     if force or not snapshot_is_fresh(spark, path, now, max_age_minutes):
-        card.withColumn("refreshed_at", F.lit(now).cast("timestamp_ntz")).write.mode(
-            "overwrite").parquet(path)
-    return spark.read.parquet(path)
+        folder = f"{path}/version-{uuid.uuid4().hex}"
+        card.withColumn("refreshed_at", F.lit(now).cast("timestamp_ntz")).write.parquet(folder)
+        spark.range(1).select(F.lit(now).cast("timestamp_ntz").alias("refreshed_at"),
+                              F.lit(folder).alias("folder")).write.mode("append").parquet(f"{path}/pointer")
+    return spark.read.parquet(_current_snapshot(spark, path)[0])

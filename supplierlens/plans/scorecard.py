@@ -19,7 +19,7 @@ from supplierlens.operators.vendor_summary import (
     summarize_orders,
     unmatched_ncrs,
 )
-from supplierlens.sources import ingest
+from supplierlens.sources import contracts, ingest
 from supplierlens.sources import sampledata as sample
 
 
@@ -43,6 +43,22 @@ def load_sample(spark: SparkSession, folder: str) -> Datasets:
     )
 
 
+def load_files(spark: SparkSession, paths: dict[str, str], fmt: str = "csv",
+               multi_line: tuple[str, ...] = ()) -> tuple[Datasets, DataFrame]:
+    """The four datasets from files with source headers, and the rejected PO lines.
+
+    ``paths`` names a file or folder per dataset. Nothing runs on a dataset without its
+    load-bearing columns, with a malformed row, or with a truth value that is none.
+    """
+    raw = {name: ingest.read_dataset(spark, path, name, fmt, name in multi_line) for name, path in paths.items()}
+    contracts.check_ready(raw)
+    ingest.check_truth(raw["ncrs"], ("resolved",))
+    po = raw["purchase_orders"]
+    data = Datasets(ingest.clean_purchase_orders(po), ingest.clean_ncrs(raw["ncrs"]),
+                    ingest.clean_items(raw["items"]), raw["vendors"])
+    return data, ingest.rejected_lines(po)
+
+
 def prepare_orders(data: Datasets) -> DataFrame:
     po = with_lead_time(with_delivery(with_vendor_identity(data.purchase_orders)), data.items)
     return with_price_history(po)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,7 +66,7 @@ NULL_TYPES: dict[str, str] = {
          "created_date", "released", "target_date", "date_follow_up"), "timestamp_ntz"),
 }
 
-# Columns without which a dataset empties or a score component dies.
+# Columns without which a dataset empties or a score component dies.
 LOAD_BEARING: dict[str, tuple[str, ...]] = {
     "purchase_orders": PO_REQUIRED + ("uom",),
     "ncrs": ("quantity", "quantity_rejected"),
@@ -164,7 +164,7 @@ def check_po_types(df: DataFrame) -> DataFrame:
     for c in PO_NUMERIC + PO_TIMESTAMPS:
         expected = "numeric" if c in PO_NUMERIC else "datetime"
         if _type_family(df.schema[c].dataType) != expected:
-            raise ContractError(f"Invalid datatype for {c}: expected {expected}")
+            raise ContractError(f"{c} is {df.schema[c].dataType.simpleString()}, not {expected}")
     return df
 
 
@@ -174,30 +174,3 @@ def _type_family(kind: T.DataType) -> str:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return "datetime"
     return kind.simpleString()
-
-
-def column_inventory(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """Name, type and nullability of every column of every table."""
-    rows = [
-        (table, at, f.name, f.dataType.simpleString(), f.nullable)
-        for table, df in tables.items()
-        for at, f in enumerate(df.schema.fields)
-    ]
-    return spark.createDataFrame(
-        rows, "table_name string, position int, column_name string, data_type string, nullable boolean"
-    )
-
-
-def schema_difference(spark: SparkSession, expected: dict[str, tuple[str, ...]],
-                      actual: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Names in one contract and not in the other, per dataset."""
-    rows = [
-        (dataset, name, side)
-        for dataset in expected
-        for side, names in (
-            ("missing", [n for n in expected[dataset] if n not in actual[dataset]]),
-            ("extra", [n for n in actual[dataset] if n not in expected[dataset]]),
-        )
-        for name in names
-    ]
-    return spark.createDataFrame(rows, "dataset string, column_name string, difference string")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supplierlens.functions.dates import text_to_timestamp
-from supplierlens.functions.numeric import text_to_double, to_double
+from supplierlens.functions.numeric import no_nan, text_to_double, to_double
 from supplierlens.functions.text import strip
 from supplierlens.sources import contracts
 
@@ -16,12 +16,18 @@ TRUE_WORDS = ("1", "true", "yes", "y", "t")
 FALSE_WORDS = ("0", "false", "no", "n", "f")
 
 
-def read_dataset(spark: SparkSession, path: str, dataset: str, fmt: str = "csv") -> DataFrame:
-    """Read one dataset by its source headers and return it under internal names."""
+def read_dataset(spark: SparkSession, path: str, dataset: str, fmt: str = "csv",
+                 multi_line: bool = False) -> DataFrame:
+    """Read one dataset by its source headers and return it under internal names.
+
+    Columns of a CSV file arrive as text and are coerced later; nothing is inferred. A row
+    with more or fewer fields than the header fails the job. Set ``multi_line`` where quoted
+    text may hold line breaks; such a file is then read by one task, so deliver it in parts.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        # No inference pass over the data: columns arrive as text and are coerced.
-        reader = reader.option("header", True).option("multiLine", False)
+        reader = (reader.option("header", True).option("mode", "FAILFAST")
+                  .option("multiLine", multi_line).option("escape", '"'))
     return contracts.to_internal_names(reader.load(path), dataset)
 
 
@@ -52,7 +58,7 @@ def truth(x: Column) -> Column:
 
 
 def unknown_truth_values(df: DataFrame, column: str, limit: int = 8) -> DataFrame:
-    """The values that would fail ``coerce_truth``, for an error message."""
+    """The first values that would fail ``coerce_truth``; an error message lists no more."""
     x = F.col(column)
     return (
         df.where(truth(x).isNull() & x.isNotNull())
@@ -60,6 +66,15 @@ def unknown_truth_values(df: DataFrame, column: str, limit: int = 8) -> DataFram
     )
 
 
+def check_truth(df: DataFrame, columns: tuple[str, ...]) -> None:
+    """Fail a load with up to eight of the values that are neither true nor false."""
+    for c in columns:
+        if c in df.columns and not isinstance(df.schema[c].dataType, T.BooleanType):
+            bad = [row[0] for row in unknown_truth_values(df, c).collect()]
+            if bad:
+                raise contracts.ContractError(f"{c}: not a truth value: {bad}")
+
+
 def coerce_truth(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Nullable booleans; a value that is neither true nor false fails the job by name.
 
@@ -97,8 +112,14 @@ def is_incomplete_line() -> Column:
     return missing
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN in a floating column is a missing value, before anything looks at it."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({c: no_nan(F.col(c)) for c in floats})
+
+
 def strip_header_rows(po: DataFrame) -> DataFrame:
-    return po.where(~is_header_row())
+    return without_nan(po).where(~is_header_row())
 
 
 def with_row_status(po: DataFrame) -> DataFrame:
@@ -110,7 +131,8 @@ def valid_lines(po: DataFrame) -> DataFrame:
 
 
 def rejected_lines(po: DataFrame) -> DataFrame:
-    return po.where(is_incomplete_line())
+    """Raw lines, spacers aside, that lack a required value."""
+    return strip_header_rows(po).where(is_incomplete_line())
 
 
 def fill_receipts(po: DataFrame) -> DataFrame:

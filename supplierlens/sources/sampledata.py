@@ -122,16 +122,18 @@ def purchase_orders_raw(t: SampleTables) -> DataFrame:
 
 
 def receipts(t: SampleTables) -> DataFrame:
-    """Receipt events; later line numbers arrive in two deliveries three days apart."""
+    """Receipt events; later line numbers arrive in two deliveries three days apart, others
+    in one that logs the whole quantity."""
     got = F.col("received_qty")
-    first = F.floor(got / 2)
+    twice = F.col("line_no") >= 6
+    first = F.when(twice, F.floor(got / 2)).otherwise(0)
     slip = F.when(F.col("part_id") % 31 == 0, 1).when(F.col("part_id") % 37 == 0, -1).otherwise(0)
     late = F.struct(F.lit(2).alias("receipt_seq"), F.col("last_receipt_date").alias("receipt_date"),
                     (got - first + slip).cast("double").alias("qty"))
     early = F.struct(F.lit(1).alias("receipt_seq"),
                      (F.col("last_receipt_date") - F.expr("INTERVAL '3' DAY")).alias("receipt_date"),
                      first.cast("double").alias("qty"))
-    deliveries = F.when(F.col("line_no") >= 6, F.array(early, late)).otherwise(F.array(late))
+    deliveries = F.when(twice, F.array(early, late)).otherwise(F.array(late))
     return (
         order_lines(t).where(got > 0)
         .select("po_number", "line_no", "part_id", "supplier_company_id", F.inline(deliveries))
