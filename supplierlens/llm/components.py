@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from supplierlens.llm.common import written
 
 
+def _unfinished(links: DataFrame) -> bool:
+    """Whether some node hangs on two others, or hangs on one and has others hanging on it."""
+    ends = links.select(F.col("a").alias("node"), F.lit(0).alias("hangs")).union(
+        links.select("b", F.lit(1).alias("hangs")))
+    return not ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.min("hangs").alias("least")).where(
+        "hangs > 1 OR hangs = 1 AND least = 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the smallest node reachable.
 
@@ -15,17 +23,11 @@ def components(links: DataFrame) -> DataFrame:
     smallest neighbour, which about halves the depth each time, whatever the shape. Smallest
     neighbours come from an aggregate that combines before its shuffle and are joined back, so
     a node with a very large number of links is never gathered in one place. The loop ends
-    when the links no longer change, told by their number and a sum of hashes.
+    when the links are stars.
     """
     links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                     .where("a <> b").distinct(), "links")
-    last = None
-    while True:
-        n, mark = links.agg(F.count(F.lit(1)),
-                            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if (n, mark) == last or n == 0:
-            break
-        last = (n, mark)
+    while _unfinished(links):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = written(both.groupBy("a").agg(F.min("b").alias("low"))
                       .select("a", F.least("a", "low").alias("low")), "links-low")

@@ -31,7 +31,7 @@ class Settings:
     coordinates: int = 48
     matches: int = 27
     hub_rounds: int = 2
-    block: int = 64
+    block: int = 256
 
 
 def _sets(part: text_hash.Texts, k: int) -> Iterator[np.ndarray]:
@@ -149,49 +149,113 @@ def _matching(pairs: DataFrame, signatures: DataFrame, s: Settings, a: str, b: s
             .select(a, b, "same"))
 
 
-def _open_pairs(held: DataFrame, signatures: DataFrame, s: Settings) -> DataFrame:
-    """All pairs of a posting list that lie in two components and match by signature.
+def _open_links(held: DataFrame, signatures: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Every link (a, b) between components that share a posting list, one per node and component.
 
-    Within one component links add nothing. Of the components of a list the one of its
-    smallest root is the rest's partner: each other member, an outsider, meets all members.
-    Outsiders come in blocks of ``block`` signatures, and each member of the list is compared
-    with a block at once; only pairs that pass leave the task.
+    Lists that span components are gathered by hub, the member that comes first in one order
+    of all nodes, so that the many lists of a group of copies are one group. Of a group's
+    components the largest is its main one; members of others, the outsiders, meet all
+    members, in blocks. Signatures tell which blocks hold pairs that may be links, and
+    which of their documents; the texts of these come together block by block, where sizes
+    of all intersections are one matrix product. No pair leaves a task unless it is a link.
     """
-    spread = written(
-        held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low <> high").select("key", "low"), "minhash-open")
-    live = written(held.join(spread, "key").join(signatures, "node"), "minhash-live")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    outside = live.where("root <> low")
-    counts = outside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / s.block).alias("blocks"))
-    blocks = written(
-        outside.join(written(counts, "minhash-blocks"), "key").withColumn("block", block)
-        .groupBy("key", "block").agg(F.collect_list(F.struct("node", "root", "n", "signature")).alias("others"))
-        .drop("block"), "minhash-blocks")
-    met = live.join(blocks, "key").select("node", "root", "n", "signature", "others")
-    percent, matches = s.percent, s.matches
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    order = F.xxhash64(F.lit(s.hub_rounds), F.col("node"))
+    lists = written(
+        held.groupBy("key").agg(F.min_by("node", order).alias("hub"), F.min("root").alias("low"),
+                                F.max("root").alias("high")).where("low <> high").select("key", "hub"), "minhash-open")
+    group = held.join(lists, "key").select("hub", "node", "root").distinct()
+    group = written(group.join(signatures, "node"), "minhash-groups")
+    sizes = group.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("n_root")).groupBy("hub").agg(
+        F.max_by("root", F.struct("n_root", "root")).alias("main"), F.sum("n_root").alias("n_all"),
+        F.max("n_root").alias("n_main")).where("n_all > n_main")
+    group = written(group.join(written(sizes, "minhash-sizes"), "hub"), "minhash-members")
+    member = F.struct("node", "root", "n", "signature")
+
+    def blocks(rows: DataFrame, n: Column, name: str) -> DataFrame:
+        at = F.pmod(F.xxhash64("node"), F.ceil(n / s.block))
+        return written(rows.withColumn("at", at).groupBy("hub", "at").agg(F.collect_list(member).alias(name))
+                       .withColumnRenamed("at", f"at_{name}"), "minhash-blocks")
+
+    outsiders = blocks(group.where("root <> main"), F.col("n_all") - F.col("n_main"), "outsiders")
+    members = blocks(group, F.col("n_all"), "members")
+    percent, matches, words = s.percent, s.matches, s.words
+
+    def arrays(rows: pa.StructArray) -> tuple[np.ndarray, ...]:
+        return (np.asarray(rows.field("node")), np.asarray(rows.field("root")), np.asarray(rows.field("n")),
+                np.asarray(rows.field("signature").flatten()).reshape(len(rows), -1))
+
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
-            for node, root, n, sig, others in zip(*(batch.column(i) for i in range(5)), strict=True):
-                rows = others.values
-                theirs = np.asarray(rows.field("node"))
-                sizes = np.asarray(rows.field("n"))
-                grid = np.asarray(rows.field("signature").flatten()).reshape(len(theirs), -1)
-                n = n.as_py()
-                fits = 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
-                fits &= np.asarray(rows.field("root")) != root.as_py()
-                fits &= (grid == np.asarray(sig.values)).sum(axis=1) >= matches
-                got = theirs[fits]
-                a.extend([node.as_py()] * len(got))
-                b.extend(got.tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.field("node").type),
-                                              pa.array(b, batch.schema.field("node").type)], ["a", "b"])
+            for i in range(len(batch)):
+                mine, theirs = batch.column(3)[i].values, batch.column(4)[i].values
+                node, root, n, sig = arrays(mine)
+                node_b, root_b, n_b, sig_b = arrays(theirs)
+                pass_a, pass_b = np.zeros(len(node), bool), np.zeros(len(node_b), bool)
+                for k in range(len(node)):
+                    fits = (100 * np.minimum(n_b, n[k]) >= percent * np.maximum(n_b, n[k])) & (root_b != root[k])
+                    fits[fits] = (sig_b[fits] == sig[k]).sum(axis=1) >= matches
+                    pass_a[k] = fits.any()
+                    pass_b |= fits
+                side = [True] * int(pass_a.sum()) + [False] * int(pass_b.sum())
+                out = [pa.array([batch.column(c)[i].as_py()] * len(side), batch.schema.field(c).type) for c in range(3)]
+                yield pa.RecordBatch.from_arrays(
+                    [*out, pa.array(side, pa.bool_()), pa.array(np.concatenate([node[pass_a], node_b[pass_b]])),
+                     pa.array(np.concatenate([root[pass_a], root_b[pass_b]]))],
+                    ["hub", "at_outsiders", "at_members", "outside", "node", "root"])
 
     kind = held.schema["node"].dataType.simpleString()
-    found = met.mapInArrow(compare, f"a {kind}, b {kind}")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = outsiders.join(members, "hub").select("hub", "at_outsiders", "at_members", "outsiders", "members")
+    # Blocks are large rows: few at a time, dealt evenly.
+    found = written(met.repartition("hub", "at_outsiders", "at_members").mapInArrow(
+        promising, f"hub {kind}, at_outsiders long, at_members long, outside boolean, node {kind}, root {kind}"),
+        "minhash-promising")
+    together = (found.join(texts, "node").groupBy("hub", "at_outsiders", "at_members")
+                .agg(F.collect_list(F.struct("outside", "node", "root", "text")).alias("rows")).select("rows"))
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                rows = batch.column(0)[i].values
+                outside = np.asarray(rows.field("outside"))
+                node, root = np.asarray(rows.field("node")), np.asarray(rows.field("root"))
+                sets = [np.unique(x) for part in text_hash.texts(rows.field("text")) for x in _sets(part, words)]
+                ours, theirs = np.flatnonzero(outside), np.flatnonzero(~outside)
+                both = _intersections([sets[k] for k in ours], [sets[k] for k in theirs])
+                n = np.array([len(x) for x in sets])
+                link = 100 * both >= percent * (n[ours][:, None] + n[theirs][None, :] - both)
+                link &= root[ours][:, None] != root[theirs][None, :]
+                a, b = np.nonzero(link)
+                # One link per outsider and component is enough to join them.
+                _, first = np.unique(np.stack([a, root[theirs][b]]), axis=1, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(node[ours][a[first]]), pa.array(node[theirs][b[first]])],
+                                                 ["a", "b"])
+
+    return together.mapInArrow(linked, f"a {kind}, b {kind}")
+
+
+def _intersections(ours: list[np.ndarray], theirs: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of the other."""
+    out = np.zeros((len(ours), len(theirs)), np.int64)
+    if not ours or not theirs:
+        return out
+    common = np.intersect1d(np.concatenate(ours), np.concatenate(theirs))
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        value = np.concatenate(sets)
+        at = np.searchsorted(common, value)
+        real = at < len(common)
+        real[real] = common[at[real]] == value[real]
+        return row[real], at[real]
+
+    (row_a, at_a), (row_b, at_b) = places(ours), places(theirs)
+    for low in range(0, len(common), width):  # some columns at a time bound the memory
+        grid_a, grid_b = np.zeros((len(ours), width), np.float32), np.zeros((len(theirs), width), np.float32)
+        for grid, row, at in ((grid_a, row_a, at_a), (grid_b, row_b, at_b)):
+            here = (at >= low) & (at < low + width)
+            grid[row[here], at[here] - low] = 1
+        out += (grid_a @ grid_b.T).astype(np.int64)
+    return out
 
 
 def minhash_dedup(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
@@ -209,8 +273,8 @@ def minhash_dedup(docs: DataFrame, settings: Settings = Settings(), id_col: str
     each posting list members are compared with a hub, and confirmed links are contracted to
     components (``hub_rounds`` times), so that a group of copies costs one comparison a
     member instead of one for each pair. What is left then are lists that span components:
-    there all pairs across components are counted in blocks, so no link is lost to the hubs.
-    Links are confirmed on the whole sets, made anew from the two texts.
+    there all pairs across components are compared in blocks, so no link is lost to the hubs.
+    Links are confirmed on the whole sets, made anew from the texts.
     """
     s = settings
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -232,9 +296,8 @@ def minhash_dedup(docs: DataFrame, settings: Settings = Settings(), id_col: str
         held = postings.withColumn("root", F.col("node")) if roots is None else (
             postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
         held = held if roots is None else written(held, "minhash-held")
-        pairs = (_hub_pairs(held, signatures, s, turn) if turn < s.hub_rounds
-                 else _open_pairs(held, signatures, s))
-        found = written(_confirmed(pairs, texts, s), "minhash-links")
+        found = written(_confirmed(_hub_pairs(held, signatures, s, turn), texts, s) if turn < s.hub_rounds
+                        else _open_links(held, signatures, texts, s), "minhash-links")
         links = found if links is None else links.union(found)
         roots = components(links)
 
