@@ -22,7 +22,10 @@ def _needed(text: str, seen: list[str]) -> list[str]:
 
 def complete(text: str) -> str:
     parts = [f"{name} AS ({BASE[name].strip()})" for name in _needed(text, [])]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + text.strip()
+    own = text.strip()
+    if own.startswith("WITH RECURSIVE "):  # a text with steps of its own goes on with them
+        return "WITH RECURSIVE " + ",\n".join([*parts, own.removeprefix("WITH RECURSIVE ")])
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + own
 
 
 ORACLE: dict[str, str] = {key: complete(text) for key, text in SQL.items()}

@@ -143,6 +143,50 @@ SELECT company_id, upper(trim(city)) AS city_key, upper(trim(state_province)) AS
         AND upper(trim(c.city)) = upper(trim(v.city))
         AND upper(trim(c.state_province)) = upper(trim(v.state_province))) AS location_candidates
 FROM o_vendor_quality v WHERE vendor_quality_status = 'INCOMPLETE' AND trim(city) <> '' AND trim(state_province) <> ''"""
+# The longest common block of two texts, then of what lies before and after it, and so on:
+# twice the characters in blocks over all characters is the similarity.
+SQL["vendor_fuzzy_candidates"] = """
+WITH RECURSIVE located AS (
+  SELECT *, upper(trim(city)) AS city_key, upper(trim(state_province)) AS state_key FROM o_vendor_quality
+  WHERE trim(city) <> '' AND trim(state_province) <> '' AND vendor_name_key <> ''),
+p AS (
+  SELECT i.company_id AS company_id_incomplete, i.vendor_name_key AS vendor_name_key_incomplete,
+         i.address_key AS address_key_incomplete, i.city_key, i.state_key, c.company_id AS company_id_complete,
+         c.vendor_name_key AS vendor_name_key_complete, c.address_key AS address_key_complete
+  FROM located i JOIN located c ON i.city_key = c.city_key AND i.state_key = c.state_key
+  WHERE i.vendor_quality_status = 'INCOMPLETE' AND c.vendor_quality_status = 'COMPLETE'),
+t AS (
+  SELECT DISTINCT * FROM (
+    SELECT vendor_name_key_incomplete AS a, vendor_name_key_complete AS b FROM p
+    UNION ALL SELECT address_key_incomplete, address_key_complete FROM p)
+  WHERE a IS NOT NULL AND b IS NOT NULL),
+starts AS (
+  SELECT a, b, unnest(range(length(a))) AS i FROM t),
+cells AS (
+  SELECT a, b, i, unnest(range(length(b))) AS j FROM starts),
+runs AS (
+  SELECT a, b, i, j, list_max(list_filter(range(1, least(length(a) - i, length(b) - j) + 1),
+                     lambda k: substr(a, i + 1, k) = substr(b, j + 1, k))) AS n
+  FROM cells WHERE substr(a, i + 1, 1) = substr(b, j + 1, 1)),
+blocks AS (
+  SELECT a, b, list({'n': n, 'i': i, 'j': j}) AS cell FROM runs GROUP BY a, b),
+walk AS (
+  SELECT a, b, 0 AS ia, length(a) AS ea, 0 AS ib, length(b) AS eb, 0 AS n FROM t
+  UNION ALL
+  SELECT a, b, part.ia, part.ea, part.ib, part.eb, part.n FROM (
+    SELECT a, b, unnest([{'ia': ia, 'ea': -best.i, 'ib': ib, 'eb': -best.j, 'n': best.n},
+                         {'ia': -best.i + best.n, 'ea': ea, 'ib': -best.j + best.n, 'eb': eb, 'n': 0}]) AS part
+    FROM (SELECT w.*, list_max(list_transform(list_filter(cell,
+                     lambda x: x.i >= w.ia AND x.i < w.ea AND x.j >= w.ib AND x.j < w.eb),
+                     lambda x: {'n': least(x.n, w.ea - x.i, w.eb - x.j), 'i': -x.i, 'j': -x.j})) AS best
+          FROM walk w JOIN blocks USING (a, b) WHERE w.ea > w.ia AND w.eb > w.ib)
+    WHERE best IS NOT NULL)),
+ratio AS (
+  SELECT a, b, 200.0 * sum(n) / nullif(length(a) + length(b), 0) AS similarity FROM walk GROUP BY a, b)
+SELECT p.*, round(n.similarity, 6) AS name_similarity, round(d.similarity, 6) AS address_similarity
+FROM p JOIN ratio n ON n.a = vendor_name_key_incomplete AND n.b = vendor_name_key_complete
+LEFT JOIN ratio d ON d.a = address_key_incomplete AND d.b = address_key_complete
+WHERE n.similarity >= 85"""
 SQL["vendor_review_status"] = """
 SELECT company_id, vendor_quality_status, review_required, review_reason FROM o_vendor_review"""
 SQL["vendor_missing_field_counts"] = " UNION ALL ".join(
