@@ -11,7 +11,7 @@ from supplierlens.session import written
 
 PRICE_GROUP = ["vendor_match_name", "vendor_match_city", "commercial_part_key",
                "commercial_currency_key", "commercial_uom_key"]
-PRICE_ORDER = ["order_date", "po_number", "line_no", "unit_price"]
+PRICE_ORDER = ["order_date", "po_number", "line_no", "unit_price"]  # line_no where the source has it
 
 def with_price_keys(po: DataFrame) -> DataFrame:
     po = po.withColumns({
@@ -29,13 +29,17 @@ def with_price_keys(po: DataFrame) -> DataFrame:
     )
 
 
-def _order_columns() -> list[Column]:
-    return [F.col("order_date").asc_nulls_last()] + [F.col(c).asc() for c in PRICE_ORDER[1:]]
+def _order(po: DataFrame) -> list[str]:
+    return [c for c in PRICE_ORDER if c in po.columns]
 
 
-def _order_struct() -> Column:
+def _order_columns(po: DataFrame) -> list[Column]:
+    return [F.col(c).asc_nulls_last() if c == "order_date" else F.col(c).asc() for c in _order(po)]
+
+
+def _order_struct(po: DataFrame) -> Column:
     """The same order as one comparable value."""
-    return F.struct(F.col("order_date").isNull().alias("undated"), *PRICE_ORDER)
+    return F.struct(F.col("order_date").isNull().alias("undated"), *_order(po))
 
 
 def with_previous_price(po: DataFrame, pieces: int | None = None) -> DataFrame:
@@ -52,17 +56,17 @@ def with_previous_price(po: DataFrame, pieces: int | None = None) -> DataFrame:
     ranges has such a row, so there are fewer of them than ranges; that bound, not a size
     seen, is why they may be broadcast.
     """
-    by = [*[F.col(c) for c in PRICE_GROUP], *_order_columns()]
+    by = [*[F.col(c) for c in PRICE_GROUP], *_order_columns(po)]
     dealt = po.repartitionByRange(pieces, *by) if pieces else po.repartitionByRange(*by)
     dealt = written(dealt.withColumn("_piece", F.spark_partition_id()), "price-pieces")
 
     price = F.col("unit_price")
-    ends = dealt.groupBy(*PRICE_GROUP, "_piece").agg(F.max_by(price, _order_struct()).alias("_end"))
+    ends = dealt.groupBy(*PRICE_GROUP, "_piece").agg(F.max_by(price, _order_struct(po)).alias("_end"))
     by_piece = Window.partitionBy(*PRICE_GROUP).orderBy("_piece")
     carried = ends.select(*[F.col(c).alias(f"_{c}") for c in PRICE_GROUP], F.col("_piece").alias("_at"),
                           F.lag("_end", 1).over(by_piece).alias("_carried")).where("_carried IS NOT NULL")
 
-    w = Window.partitionBy(*PRICE_GROUP, "_piece").orderBy(*_order_columns())
+    w = Window.partitionBy(*PRICE_GROUP, "_piece").orderBy(*_order_columns(po))
     lagged = dealt.withColumns({"_lag": F.lag(price, 1).over(w), "_nr": F.row_number().over(w)})
     first = (F.col("_nr") == 1) & (F.col("_piece") == F.col("_at"))
     for c in PRICE_GROUP:
