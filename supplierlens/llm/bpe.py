@@ -27,19 +27,6 @@ def split_words(text: str) -> list[str]:
     return _words(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
 
-def byte_letters() -> list[str]:
-    """The character that stands for each byte: itself if printable, else one above 255."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    out, extra = [], 0
-    for b in range(256):
-        out.append(chr(b) if b in printable else chr(256 + extra))
-        extra += b not in printable
-    return out
-
-
-_LETTERS = dict(enumerate(byte_letters()))
-
-
 class WordBpe:
     """Encodes words with a vocabulary whose words end in END_OF_WORD, and decodes ids.
 
@@ -183,7 +170,7 @@ class WordBpe:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian 16-bit numbers."""
-        letters = [w.encode().decode("latin-1").translate(_LETTERS) for w in words]
+        letters = [w.encode().decode("latin-1").translate(tokens.BYTE_LETTERS) for w in words]
         found = [self.propose(x) for x in letters]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((t for x in found for t in x), np.int64, int(sizes.sum()))

@@ -101,8 +101,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
-    spans = written(sentence_spans(base.where("doc_id IS NOT NULL"), min_sentences, min_words),
-                    "substring-spans")
+    # Made twice: hashing the texts again takes less than writing a row for every sentence.
+    spans = sentence_spans(base.where("doc_id IS NOT NULL"), min_sentences, min_words)
     place = F.struct("doc_id", "first")
     repeated = written(spans.groupBy("span").agg(F.min(place).alias("kept"), F.max(place).alias("other"))
                        .where("kept <> other").select("span", "kept"), "substring-repeated")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -18,7 +19,7 @@ def tokenizer_path(name: str) -> str:
 
 
 #: Distinct units kept per Python worker, about 200 bytes each.
-CACHE_UNITS = 500_000
+CACHE_UNITS = 1_200_000
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_BLANK = re.compile(r"[^\S \n]")
 
@@ -29,6 +30,24 @@ def has_even_blanks(text: str) -> bool:
             and "\n " not in text and not _OTHER_BLANK.search(text))
 
 
+# Letters of one case mapping each, which no normal form changes: a word of these alone is one
+# word of either tokenizer's pattern.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte: itself if printable, else one above 255."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out, extra = [], 0
+    for b in range(256):
+        out.append(chr(b) if b in printable else chr(256 + extra))
+        extra += b not in printable
+    return out
+
+
+BYTE_LETTERS = dict(enumerate(byte_letters()))
+
+
 def split_dropping(text: str) -> list[str]:
     """Units for a tokenizer that drops blanks: no word of its pattern spans one."""
     return text.replace("\n", " ").split(" ")
@@ -70,7 +89,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         self.keeps_blanks = file["pre_tokenizer"]["type"] == "ByteLevel"
-        self._names = [x["content"] for x in file["added_tokens"]]
+        self._tokenize = self._library.model.tokenize
         self._border, self._border_id = file["added_tokens"][-1]["content"], file["added_tokens"][-1]["id"]
         self._words = UnitCache(self._bulk)
         self._units = UnitCache(self._stems)
@@ -78,18 +97,33 @@ class Encoder:
     def _ask(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u2") for x in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of letters: the library's model without its pattern."""
+        if self.keeps_blanks:
+            model_word = word if word.isascii() else word.encode().decode("latin-1")
+            model_word = model_word.translate(BYTE_LETTERS)
+        else:
+            model_word = word.lower()
+            if not word.isascii():
+                model_word = model_word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("H", [t.id for t in self._tokenize(model_word)]).tobytes()
+
     def _bulk(self, units: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(units), 500):
-            block = units[at:at + 500]
+        start = 1 if self.keeps_blanks else 0
+        out = [self._word(x) if _LETTERS(x, start if x[:1] == " " else 0) else None for x in units]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for at in range(0, len(rest), 500):
+            block = [units[i] for i in rest[at:at + 500]]
             joined = self._border.join(block)
             if joined.count("<|") > len(block) - 1:  # a unit may hold a special token itself
-                out += [x.tobytes() for x in self._ask(block)]
-                continue
-            ids = self._ask([joined])[0]
-            whole = ids.tobytes()
-            cuts = (2 * np.flatnonzero(ids == self._border_id)).tolist()
-            out += [whole[a:b] for a, b in zip([0, *[c + 2 for c in cuts]], [*cuts, len(whole)], strict=True)]
+                found = [x.tobytes() for x in self._ask(block)]
+            else:
+                ids = self._ask([joined])[0]
+                whole = ids.tobytes()
+                cuts = (2 * np.flatnonzero(ids == self._border_id)).tolist()
+                found = [whole[a:b] for a, b in zip([0, *[c + 2 for c in cuts]], [*cuts, len(whole)], strict=True)]
+            for i, x in zip(rest[at:at + 500], found, strict=True):
+                out[i] = x
         return out
 
     def _stems(self, units: list[str]) -> list[bytes]:
