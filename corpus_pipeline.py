@@ -33,7 +33,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without sentences that a non-first place of a repeated span covers.
+    """All documents, without words that a non-first place of a repeated span covers.
 
     n_chars follows the text; a document may become empty, and stays.
     """

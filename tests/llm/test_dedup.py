@@ -213,6 +213,32 @@ def test_planted_passage_goes_and_clean_text_stays(spark):
     assert "v8q0 " in out[8]["text"] and out[8]["text"].endswith("v8bq79")
 
 
+@pytest.mark.parametrize("stop", ["", "."])
+def test_a_passage_goes_however_its_lines_are_wrapped(spark, stop):
+    def prose(seed, n):
+        return [f"v{seed}q{i}" + (stop if i % 30 == 29 else "") for i in range(n)]
+
+    def wrapped(words, width):
+        return "\n".join(" ".join(words[i:i + width]) for i in range(0, len(words), width))
+
+    passage = prose("pass", 200)
+    widths = {1: 200, 2: 10, 3: 12, 4: 7}
+    rows = [(i, "\n".join([" ".join(prose(i, 50)), wrapped(passage, n), " ".join(prose(f"{i}b", 50))])) for i, n in widths.items()]
+    out = {r["doc_id"]: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1]["text"] == rows[0][1] and out[1]["n_removed"] == 0
+    for i in (2, 3, 4):
+        left = out[i]["text"].split()
+        assert sum(w in left for w in passage) <= 30 and out[i]["n_removed"] > 0
+        assert [w for w in left if w not in passage] == prose(i, 50) + prose(f"{i}b", 50)
+
+
+def test_a_block_of_lines_goes_whole(spark):
+    block = "\n".join(" ".join(f"l{i}w{j}" for j in range(9)) for i in range(3))
+    rows = [(i, f"head{i}\n{block}\ntail{i}") for i in (1, 2)]
+    out = {r["doc_id"]: r["text"] for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: rows[0][1], 2: "head2\ntail2"}
+
+
 @pytest.mark.parametrize("operator", [exact_dedup.exact_dedup, line_dedup.line_dedup, substring_dedup.substring_dedup,
                                       minhash_dedup.minhash_dedup])
 def test_empty_tables(empty, operator):
