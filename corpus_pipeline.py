@@ -22,9 +22,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts; a row repeated whole stays once."""
-    kept = _without(docs, exact_dedup.exact_dedup(docs).where("NOT kept"))
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One row of each group of equal texts, with the operator's verdict on the row's own text.
+
+    An id, or no id, may be on several texts: rows are dropped by id and hash of the text. Of
+    rows alike in both, which the operator treats as one, the longest original stays.
+    """
+    verdicts = exact_dedup.exact_dedup(docs, hash_all=True).where("NOT kept")
+    gone = written(verdicts.select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_gone_sha"))
+                   .distinct(), "dropped-texts")
+    hashed = docs.withColumn("_sha", F.sha2(exact_dedup.normalised(F.col("text")), 256))
+    kept = hashed.join(gone, (F.col("_sha") == F.col("_gone_sha")) & F.col("doc_id").eqNullSafe(F.col("_gone")),
+                       "left_anti")
+    longest = F.struct(F.char_length("text"), F.xxhash64("text"))
+    return (kept.groupBy(F.col("doc_id").alias("_id"), "_sha")
+            .agg(F.max_by(F.struct(*docs.columns), longest).alias("_row")).select("_row.*"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

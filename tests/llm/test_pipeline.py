@@ -55,6 +55,15 @@ def test_stages_on_odd_rows(spark, docs, empty):
         corpus_pipeline.STAGES[-1][1](spark, df, "").collect()
 
 
+def test_exact_drops_rows_by_their_own_text(spark, empty):
+    texts = [(3, "A a"), (5, "A a"), (5, "B b"), (5, "B  b"), (None, "A a"), (None, "C c"), (None, "C  c"),
+             (None, "D d"), (7, "E e"), (None, "E  e"), (8, None), (9, " ")]
+    df = spark.createDataFrame([(i, t, "en", "s", None) for i, t in texts], empty.schema)
+    out = corpus_pipeline.exact(spark, df, "")
+    assert out.columns == COLUMNS
+    assert Counter(rows(out)) == Counter([(3, "A a"), (5, "B  b"), (None, "C  c"), (None, "D d"), (None, "E  e"), (9, " ")])
+
+
 def test_every_operator_is_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
