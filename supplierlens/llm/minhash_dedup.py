@@ -21,7 +21,7 @@ class Settings:
     """``coordinates`` per signature, of which a pair must share ``matches``.
 
     A pair of similarity 0.8 shares 38 of 48 coordinates on average and under 27 with a
-    probability of about 1e-5. By the prefix principle two signatures that share 27
+    probability of about 4.8e-5. By the prefix principle two signatures that share 27
     coordinates share one of the 22 (= 48 - 27 + 1) rarest of either, so postings of the
     other 26 are never merged.
     """
