@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplierlens.llm import (
+    alignment,
     bpe,
     exact_dedup,
     html_extract,
@@ -81,6 +82,11 @@ def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.minhash_dedup(documents(spark, folder), minhash_dedup.Settings(words=4))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"),
+                           tokenizer_path("piece_bpe_32k.model"), with_groups=False)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_html_extract": op2_html_extract,
@@ -92,4 +98,5 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_alignment": op11_alignment,
 }
