@@ -83,4 +83,52 @@ r AS (
 c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
 SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, t.doc_id = c.component_id AS kept
 FROM t JOIN c ON c.node = t.doc_id LEFT JOIN n ON n.doc_id = t.doc_id""",
+    "op12_prefix_trie": rf"""
+WITH t AS (
+  SELECT conv_id, turn, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS key,
+         len(regexp_extract_all(coalesce(text, ''), '[^{_BLANK}]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT conv_id, list(key ORDER BY turn NULLS FIRST, key) AS keys, list(words ORDER BY turn NULLS FIRST, key) AS words
+  FROM t GROUP BY conv_id),
+c AS (
+  SELECT *, xor(4294967295, list_reduce(
+           list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+           lambda crc, x: list_reduce(CAST(range(8) AS BIGINT[]),
+             lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, CAST(3988292384 AS BIGINT)) ELSE r >> 1 END, xor(crc, x)),
+           CAST(4294967295 AS BIGINT))) % 4 AS h
+  FROM o),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.keys[1:c.h], []), c.keys[c.h + 1:]) AS keys,
+         list_concat(coalesce(b.words[1:c.h], []), c.words[c.h + 1:]) AS words
+  FROM c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (
+  SELECT conv_id, keys, words, unnest(range(len(keys) + 1)) AS depth FROM r),
+n AS (
+  SELECT array_to_string(keys[1:depth], '') AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         max(CASE WHEN depth > 0 THEN words[depth] ELSE 0 END) AS words,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(keys) = depth), '') AS ends
+  FROM p GROUP BY ALL),
+k AS (
+  SELECT path[1:64 * (depth - 1)] AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path, depth)),
+s AS (
+  SELECT a.path, a.depth, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved_tokens
+  FROM m a JOIN m b ON b.depth >= a.depth AND starts_with(b.path, a.path) GROUP BY ALL)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN s USING (path, depth) LEFT JOIN m u ON m.depth > 0 AND u.depth = m.depth - 1 AND u.path = m.path[1:64 * (m.depth - 1)]""",
+    "op13_chat_format": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(24 + length(text) + len(regexp_extract_all(text, '<\\*\|'))
+                + length(role) + len(regexp_extract_all(role, '[\\\n]|<\|'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
 }

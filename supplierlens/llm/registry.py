@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 from supplierlens.llm import (
     alignment,
     bpe,
+    chat_format,
     exact_dedup,
     html_extract,
     line_dedup,
     minhash_dedup,
     packing,
+    prefix_trie,
     quality_rules,
     substring_dedup,
     token_counts,
     token_files,
 )
-from supplierlens.llm.common import documents, pages
+from supplierlens.llm.common import conversations, documents, pages
 from supplierlens.llm.tokens import tokenizer_path
 from supplierlens.session import work_folder
 
@@ -87,6 +89,25 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
                            tokenizer_path("piece_bpe_32k.model"), with_groups=False)
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.keyed_turns(conversations(spark, folder))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_openings(turns)).drop("node", "parent")
+
+
+def op13_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    control = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                "conv_id long, turn long, role string, text string")
+    turns = conversations(spark, folder).select("conv_id", "turn", "role", "text").union(own)
+    out = chat_format.format_chat(turns).select(
+        "conv_id", chat_format.read_turns(F.col("formatted")).alias("turns"),
+        chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"), "formatted_chars")
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_html_extract": op2_html_extract,
@@ -99,4 +120,6 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_minhash_dedup": op10_minhash_dedup,
     "op11_alignment": op11_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_chat_format": op13_chat_format,
 }
