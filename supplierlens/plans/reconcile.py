@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,10 +11,12 @@ from pyspark.sql import types as T
 from supplierlens.functions.numeric import no_nan, text_to_double
 from supplierlens.functions.text import strip
 from supplierlens.operators.identity import VENDOR_KEY
+from supplierlens.operators.pricing import price_columns, with_price_keys
 from supplierlens.operators.scoring import score_vendors
-from supplierlens.operators.vendor_summary import join_ncrs, summarize_ncrs, summarize_orders
+from supplierlens.operators.vendor_summary import MEASURED, join_ncrs, summarize_ncrs, summarize_orders
 from supplierlens.plans.reports import long_form
 from supplierlens.plans.scorecard import Datasets, prepare_ncrs, prepare_orders
+from supplierlens.session import written
 from supplierlens.sources import extracts, ingest
 from supplierlens.sources import sampledata as sample
 
@@ -43,74 +47,92 @@ def load_system(spark: SparkSession, folder: str, scope: extracts.Scope = EVERYT
     return Datasets(ingest.clean_purchase_orders(po), ingest.clean_ncrs(ncrs), items, vendors)
 
 
-def stage_totals(data: Datasets) -> DataFrame:
-    """18 control totals of one source, one row each."""
-    po, ncrs = prepare_orders(data), prepare_ncrs(data)
-    items = data.items.agg(F.count(F.lit(1)).alias("Item Master rows"),
-                           F.count("lead_time").alias("Items with lead time"))
-    vendors = data.vendors.agg(F.count(F.lit(1)).alias("Vendor Master rows"))
-    # Lines are counted per vendor first; those rows are few, and counting them is the number
-    # of vendors. Only the distinct orders need a second look at the lines, at one column.
-    sums = {"PO rows (valid)": F.count(F.lit(1)), "Delivery eligible": F.count_if("delivery_eligible"),
-            "On-time": F.count_if("on_time"), "Late": F.count_if("late"),
-            "Lead-time eligible": F.count_if("lead_time_eligible"),
-            "Commercial base-eligible": F.count_if("commercial_base_eligible"),
-            "Price comparisons": F.count_if("price_comparison_eligible"),
-            "Price stable": F.count_if("price_stable")}
-    per_vendor = po.groupBy(*VENDOR_KEY).agg(*[x.alias(c) for c, x in sums.items()])
-    lines = per_vendor.agg(*[F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in sums],
-                           F.count(F.lit(1)).alias("Vendor+Location rows"))
-    keys = data.purchase_orders.agg(F.count_distinct("po_number").alias("Distinct POs"))
-    records = ncrs.agg(
-        F.count(F.lit(1)).alias("NCR rows"),
-        F.count_if("supplier_linked").alias("Supplier-linked NCRs"),
-        F.count_if("quality_eligible").alias("Quality-eligible NCRs"),
-        F.count_if("responsiveness_eligible").alias("Responsiveness-eligible NCRs"),
-        F.count_if("resolved_flag").alias("Resolved NCRs"))
-    out = long_form(items)
-    for part in (vendors, lines, keys, records):
-        out = out.unionByName(long_form(part))
+def _tagged(sources: dict[str, Datasets], part: Callable[[Datasets], DataFrame]) -> DataFrame:
+    """One part of every source, one below the other, with the name of the source."""
+    out = None
+    for name, data in sources.items():
+        one = part(data).withColumn("source", F.lit(name))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out
 
 
-def downstream_totals(data: Datasets, rules: dict) -> DataFrame:
-    """Ten control totals after the full pipeline."""
-    po, ncrs = prepare_orders(data), prepare_ncrs(data)
-    cards = score_vendors(join_ncrs(summarize_orders(po), summarize_ncrs(ncrs)), rules)
-    vendors = cards.agg(
-        F.count(F.lit(1)).alias("vendor rows"),
-        F.sum("delivery_eligible_count").alias("delivery eligible"),
-        F.sum("on_time_count").alias("on-time"), F.sum("late_count").alias("late"),
-        F.sum("price_comparison_count").alias("price comparisons"))
-    records = ncrs.agg(
-        F.count_if("supplier_linked").alias("supplier-linked NCRs"),
-        F.count_if("quality_eligible").alias("quality-eligible NCRs"),
-        F.count_if("responsiveness_eligible").alias("responsiveness-eligible"),
-        F.count_if("resolved_flag").alias("resolved NCRs"),
-        F.count_if("unresolved_flag").alias("unresolved NCRs"))
-    return long_form(vendors).unionByName(long_form(records))
-
-
-def totals_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+def _order_store(sources: dict[str, Datasets]) -> DataFrame:
+    """The lines of all sources as one price store, so that one price pass serves them all."""
+    def narrow(data: Datasets) -> DataFrame:
+        po = with_price_keys(prepare_orders(data))
+        return po.select(*price_columns(po, MEASURED))
+
+    return written(_tagged(sources, narrow), "price-store")
+
+
+def _per_source(*parts: DataFrame) -> DataFrame:
+    """Rows of one source each, in long form."""
+    out = None
+    for part in parts:
+        one = long_form(part, keep=("source",))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def stage_totals(sources: dict[str, Datasets]) -> DataFrame:
+    """18 control totals of each source, one row each."""
+    store = _order_store(sources)
+    vendors = summarize_orders(store, ("source",))
+    sums = {"PO rows (valid)": "po_transaction_count", "Delivery eligible": "delivery_eligible_count",
+            "On-time": "on_time_count", "Late": "late_count", "Lead-time eligible": "lead_time_eligible_count",
+            "Price comparisons": "price_comparison_count", "Price stable": "price_stable_count"}
+    return _per_source(
+        _tagged(sources, lambda d: d.items.agg(F.count(F.lit(1)).alias("Item Master rows"),
+                                               F.count("lead_time").alias("Items with lead time"))),
+        _tagged(sources, lambda d: d.vendors.agg(F.count(F.lit(1)).alias("Vendor Master rows"))),
+        vendors.groupBy("source").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(m) for m, c in sums.items()],
+                                      F.count(F.lit(1)).alias("Vendor+Location rows")),
+        store.groupBy("source").agg(F.count_if("commercial_base_eligible").alias("Commercial base-eligible"),
+                                    F.count_distinct("po_number").alias("Distinct POs")),
+        _tagged(sources, lambda d: prepare_ncrs(d).agg(
+            F.count(F.lit(1)).alias("NCR rows"),
+            F.count_if("supplier_linked").alias("Supplier-linked NCRs"),
+            F.count_if("quality_eligible").alias("Quality-eligible NCRs"),
+            F.count_if("responsiveness_eligible").alias("Responsiveness-eligible NCRs"),
+            F.count_if("resolved_flag").alias("Resolved NCRs"))))
+
+
+def downstream_totals(sources: dict[str, Datasets], rules: dict) -> DataFrame:
+    """Ten control totals of each source after the full pipeline."""
+    orders = summarize_orders(_order_store(sources), ("source",))
+    ncrs = _tagged(sources, prepare_ncrs)
+    cards = score_vendors(join_ncrs(orders, summarize_ncrs(ncrs, ("source",)), extra_keys=("source",)), rules)
+    return _per_source(
+        cards.groupBy("source").agg(
+            F.count(F.lit(1)).alias("vendor rows"),
+            F.sum("delivery_eligible_count").alias("delivery eligible"),
+            F.sum("on_time_count").alias("on-time"), F.sum("late_count").alias("late"),
+            F.sum("price_comparison_count").alias("price comparisons")),
+        ncrs.groupBy("source").agg(
+            F.count_if("supplier_linked").alias("supplier-linked NCRs"),
+            F.count_if("quality_eligible").alias("quality-eligible NCRs"),
+            F.count_if("responsiveness_eligible").alias("responsiveness-eligible"),
+            F.count_if("resolved_flag").alias("resolved NCRs"),
+            F.count_if("unresolved_flag").alias("unresolved NCRs")))
+
+
+def _of(source: str, value: str) -> Column:
+    return F.max(F.when(F.col("source") == source, F.col(value)))
+
+
+def totals_difference(totals: DataFrame) -> DataFrame:
+    """Totals of the sources ``left`` and ``right`` side by side."""
+    both = totals.groupBy("measure").agg(_of("left", "value").alias("left_value"), _of("right", "value").alias("right_value"))
     diff = F.coalesce("right_value", F.lit(0)) - F.col("left_value")
-    return (
-        left.withColumnRenamed("value", "left_value")
-        .join(right.withColumnRenamed("value", "right_value"), "measure", "left")
-        .withColumns({"diff": diff, "differs": diff != 0})
-    )
+    return both.where("left_value IS NOT NULL").withColumns({"diff": diff, "differs": diff != 0})
 
 
-def vendor_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Full comparison of two scorecards; a vendor without a city matches its like."""
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(f"{c}_{tag}") for c in VENDOR_KEY + COMPARED],
-                         F.lit(True).alias(f"in_{tag}"))
-
-    same = F.lit(True)
-    for c in VENDOR_KEY:
-        same = same & F.col(f"{c}_left").eqNullSafe(F.col(f"{c}_right"))
-    joined = side(left, "left").join(side(right, "right"), same, "full_outer")
-    in_left, in_right = F.col("in_left").isNotNull(), F.col("in_right").isNotNull()
+def vendor_difference(sources: dict[str, Datasets]) -> DataFrame:
+    """Full comparison of the vendors of ``left`` and ``right``; one without a city matches its like."""
+    vendors = summarize_orders(_order_store(sources), ("source",))
+    both = vendors.groupBy(*VENDOR_KEY).agg(
+        *[F.count_if(F.col("source") == s).alias(f"in_{s}") for s in ("left", "right")],
+        *[_of(s, c).alias(f"{c}_{s}") for c in COMPARED for s in ("left", "right")])
     diffs = {
         f"{c}_diff": F.coalesce(f"{c}_right", F.lit(0)) - F.coalesce(f"{c}_left", F.lit(0))
         for c in COMPARED
@@ -118,8 +140,9 @@ def vendor_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     total = F.lit(0)
     for d in diffs.values():
         total = total + F.abs(d)
-    return joined.select(
-        *[F.coalesce(f"{c}_left", f"{c}_right").alias(c) for c in VENDOR_KEY],
+    in_left, in_right = F.col("in_left") > 0, F.col("in_right") > 0
+    return both.select(
+        *VENDOR_KEY,
         F.when(in_left & in_right, "both").when(in_left, "left_only").otherwise("right_only")
         .alias("side"),
         *[F.col(f"{c}_{tag}") for c in COMPARED for tag in ("left", "right")],

@@ -403,7 +403,7 @@ def _(spark, folder):
 
 
 def _priced(spark, folder):
-    return pricing.with_price_history(_identified(spark, folder))
+    return pricing.with_price_history(pricing.price_store(_identified(spark, folder), LINE))
 
 
 @query("price_history")
@@ -451,8 +451,8 @@ def _(spark, folder):
 
 @query("aggregation_controls")
 def _(spark, folder):
-    po = cards.prepare_orders(cards.load_sample(spark, folder))
-    return reports.aggregation_controls(po, vendor_summary.summarize_orders(po))
+    store = cards.order_store(cards.load_sample(spark, folder))
+    return reports.aggregation_controls(vendor_summary.summarize_orders(store, totals=True))
 
 
 @query("ncr_vendor_match")
@@ -598,18 +598,20 @@ def _(spark, folder):
 
 @query("recon_stage_totals")
 def _(spark, folder):
-    return reconcile.stage_totals(cards.load_sample(spark, folder))
+    return reconcile.stage_totals({"left": cards.load_sample(spark, folder)}).drop("source")
+
+
+def _both_sources(spark, folder):
+    return {"left": cards.load_sample(spark, folder), "right": reconcile.load_system(spark, folder)}
 
 
 @query("recon_stage_diff")
 def _(spark, folder):
-    return reconcile.totals_difference(reconcile.stage_totals(cards.load_sample(spark, folder)),
-                                       reconcile.stage_totals(reconcile.load_system(spark, folder)))
+    return reconcile.totals_difference(reconcile.stage_totals(_both_sources(spark, folder)))
 
 
 def _vendor_diff(spark, folder):
-    return reconcile.vendor_difference(cards.order_summary(cards.load_sample(spark, folder)),
-                                       cards.order_summary(reconcile.load_system(spark, folder)))
+    return reconcile.vendor_difference(_both_sources(spark, folder))
 
 
 @query("recon_vendor_diff")
@@ -651,9 +653,7 @@ def _(spark, folder):
 
 @query("downstream_controls")
 def _(spark, folder):
-    return reconcile.totals_difference(
-        reconcile.downstream_totals(cards.load_sample(spark, folder), RULES),
-        reconcile.downstream_totals(reconcile.load_system(spark, folder), RULES))
+    return reconcile.totals_difference(reconcile.downstream_totals(_both_sources(spark, folder), RULES))
 
 
 # --- census --------------------------------------------------------------------------

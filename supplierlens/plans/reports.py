@@ -129,10 +129,10 @@ def by_vendor() -> list[Column]:
     return [F.col(NAME).asc_nulls_last(), F.col(CITY).asc_nulls_last()]
 
 
-def long_form(row: DataFrame, name: str = "measure", value: str = "value") -> DataFrame:
-    """A one-row frame as (measure, value) rows."""
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias(name), F.col(c).alias(value)) for c in row.columns])))
+def long_form(row: DataFrame, name: str = "measure", value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each row's columns as (measure, value) rows, beside the ``keep`` columns."""
+    return row.select(*keep, F.inline(F.array(*[
+        F.struct(F.lit(c).alias(name), F.col(f"`{c}`").alias(value)) for c in row.columns if c not in keep])))
 
 
 # --- dashboard -----------------------------------------------------------------------
@@ -354,16 +354,19 @@ def final_controls(data: Datasets, rules: dict | None = None) -> DataFrame:
         _scored_vendors().alias("scored_vendors")))
 
 
-def aggregation_controls(po: DataFrame, orders: DataFrame) -> DataFrame:
-    """Totals of the lines beside totals re-added from the vendor rows."""
-    pairs = {"po_transactions": (F.count(F.lit(1)), "po_transaction_count"),
-             "delivery_eligible": (F.count_if("delivery_eligible"), "delivery_eligible_count"),
-             "lead_time_eligible": (F.count_if("lead_time_eligible"), "lead_time_eligible_count"),
-             "price_comparisons": (F.count_if("price_comparison_eligible"), "price_comparison_count")}
-    lines = long_form(po.agg(*[agg.alias(m) for m, (agg, _) in pairs.items()]), value="line_total")
-    rows = long_form(orders.agg(*[F.sum(c).alias(m) for m, (_, c) in pairs.items()]),
-                     value="vendor_total")
-    return lines.join(rows, "measure").withColumn("agrees", F.col("line_total") == F.col("vendor_total"))
+def aggregation_controls(orders: DataFrame) -> DataFrame:
+    """Totals of the lines beside totals re-added from the vendor rows.
+
+    ``orders`` is an order summary with totals: the row of all lines comes from the same
+    passes that made the vendor rows, so nothing is read for the control alone.
+    """
+    pairs = {"po_transactions": "po_transaction_count", "delivery_eligible": "delivery_eligible_count",
+             "lead_time_eligible": "lead_time_eligible_count", "price_comparisons": "price_comparison_count"}
+    sums = orders.groupBy("is_total").agg(*[F.sum(c).alias(m) for m, c in pairs.items()])
+    out = long_form(sums, keep=("is_total",)).groupBy("measure").agg(
+        F.max(F.when(F.col("is_total"), F.col("value"))).alias("line_total"),
+        F.max(F.when(~F.col("is_total"), F.col("value"))).alias("vendor_total"))
+    return out.withColumn("agrees", F.col("line_total") == F.col("vendor_total"))
 
 
 # --- written results -----------------------------------------------------------------

@@ -11,9 +11,10 @@ from supplierlens.operators.delivery import with_delivery
 from supplierlens.operators.identity import with_vendor_identity
 from supplierlens.operators.lead_time import with_lead_time
 from supplierlens.operators.ncr import with_ncr_measures
-from supplierlens.operators.pricing import with_price_history
+from supplierlens.operators.pricing import price_store
 from supplierlens.operators.scoring import load_rules, score_vendors
 from supplierlens.operators.vendor_summary import (
+    MEASURED,
     join_ncrs,
     summarize_ncrs,
     summarize_orders,
@@ -60,8 +61,12 @@ def load_files(spark: SparkSession, paths: dict[str, str], fmt: str = "csv",
 
 
 def prepare_orders(data: Datasets) -> DataFrame:
-    po = with_lead_time(with_delivery(with_vendor_identity(data.purchase_orders)), data.items)
-    return with_price_history(po)
+    """Lines with identity, delivery and lead-time measures; prices come from a store of them."""
+    return with_lead_time(with_delivery(with_vendor_identity(data.purchase_orders)), data.items)
+
+
+def order_store(data: Datasets) -> DataFrame:
+    return price_store(prepare_orders(data), MEASURED)
 
 
 def prepare_ncrs(data: Datasets) -> DataFrame:
@@ -69,7 +74,7 @@ def prepare_ncrs(data: Datasets) -> DataFrame:
 
 
 def order_summary(data: Datasets) -> DataFrame:
-    return summarize_orders(prepare_orders(data))
+    return summarize_orders(order_store(data))
 
 
 def vendor_summary(data: Datasets) -> DataFrame:

@@ -16,6 +16,8 @@ def local_session(cores: str = "8", name: str = "supplierlens", **extra: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Larger generated methods than this are never compiled by HotSpot.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE_PARTITIONS", cores))
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "8g"))
     )
