@@ -1,8 +1,10 @@
 """A third of all rows under one key gives the same results as any other spread."""
 
+import difflib
+
 from pyspark.sql import functions as F
 
-from supplierlens.operators import lead_time, vendor_quality, vendor_summary
+from supplierlens.operators import lead_time, similarity, skew, vendor_quality, vendor_summary
 from supplierlens.operators.identity import with_vendor_identity
 
 
@@ -40,3 +42,31 @@ def test_hot_duplicate_key(spark):
         F.lit("Z").alias("postal_code"))
     out = vendor_quality.with_exact_duplicates(vendor_quality.with_completeness(vendors))
     assert out.where("exact_duplicate_flag").count() == 1000
+
+
+def test_heavy_keys_are_dealt_out(spark):
+    """A third of the rows under one key: no salted key gets many more rows than the limit."""
+    n = F.col("id")
+    many = spark.range(30_000).select(F.when(n % 3 == 0, "HOT").otherwise(F.concat(F.lit("K"), n % 997)).alias("k"), n)
+    few = many.select("k").distinct().withColumn("v", F.length("k"))
+    heavy = skew.heavy_keys(many.groupBy("k").count(), ["k"], "count", 500)
+    assert [tuple(r) for r in heavy.collect()] == [("HOT", 20)]
+    out = skew.salted_join(many, few, ["k"], heavy, n)
+    assert out.count() == 30_000 and out.where("v = length(k)").count() == 30_000
+    dealt = many.join(F.broadcast(heavy), "k").groupBy(F.pmod(F.xxhash64("id"), "_salts").alias("s")).count()
+    assert dealt.agg(F.max("count")).first()[0] < 700
+    kept = skew.salted_join(many, few.where("k <> 'HOT'"), ["k"], heavy, n, "left")
+    assert kept.count() == 30_000 and kept.where("v IS NULL").count() == 10_000
+
+
+def test_a_third_of_vendors_in_one_city(spark):
+    """Look-alikes of a large city: its frequent tokens are heavy keys, and the result is whole."""
+    rows = [(i, f"{'ABCDEFGH'[i % 8]}{i % 40} STEEL WORKS {i % 7}", "1 RD" if i % 4 else None, "BIG" if i % 3 == 0 else f"C{i % 50}", "S", "Z")
+            for i in range(1200)]
+    vendors = spark.createDataFrame(rows, "company_id long, vendor_name string, address_line_1 string, city string, "
+                                          "state_province string, postal_code string")
+    keyed = vendor_quality.with_keys(vendor_quality.with_completeness(vendors))
+    salted = similarity.look_alikes(keyed, 95.0, heavy_rows=50)
+    want = sum(1 for i, a, x, c, *_ in rows if x is None for j, b, y, d, *_ in rows
+               if y is not None and c == d and 100 * difflib.SequenceMatcher(None, a, b).ratio() >= 95)
+    assert salted.count() == want

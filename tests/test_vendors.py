@@ -12,7 +12,7 @@ from supplierlens.plans import reports, scorecard
 from supplierlens.plans.registry import QUERIES
 
 
-@pytest.mark.parametrize("least", [60.0, 85.0, 95.0])
+@pytest.mark.parametrize("least", [60.0, 85.0, 95.0, 100.0])
 def test_look_alikes_lose_nothing(spark, least):
     rnd = random.Random(5)
     words = ["ACME", "STEEL", "WORKS", "PARTS", "EAST", "EE", "LTD", "INC"]
@@ -22,7 +22,9 @@ def test_look_alikes_lose_nothing(spark, least):
         rows, "company_id long, vendor_name string, address_line_1 string, city string, state_province string, postal_code string")
     keyed = vendor_quality.with_keys(vendor_quality.with_completeness(vendors))
     got = {(r["company_id_incomplete"], r["company_id_complete"]): r["name_similarity"]
-           for r in similarity.look_alikes(keyed, least).collect()}
+           for r in similarity.look_alikes(keyed, least, heavy_rows=10).collect()}
+    assert got == {(r["company_id_incomplete"], r["company_id_complete"]): r["name_similarity"]
+                   for r in similarity.look_alikes(keyed, least).collect()}
     want = {}
     for i, a, street, city, *_ in rows:
         for j, b, other, where, *_ in rows:
