@@ -64,10 +64,33 @@ _CONTRACTS = {
     "vendors": ("o_vendors", "company_id vendor_name address_line_1 city state_province postal_code",
         "address_line_2 country"),
 }
+_NUMBERS = """ordered_qty received_qty unit_price extended_value quantity quantity_rejected list_price lead_time""".split()
+
+
+def _plain_text(c: str) -> str:
+    if c in _NUMBERS:
+        return f"CAST(CAST(round({c} * 1000) AS BIGINT) AS VARCHAR)"
+    if c == "released" or c.endswith("_date"):
+        return f"strftime({c}, '%Y%m%d%H%M%S')"
+    return f"CAST({c} AS VARCHAR)"
+
+
+def _digest(text: str) -> str:
+    return f"CAST(coalesce(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)) % {1 << 61}, 0) AS BIGINT)"
+
+
+_PO_NAMES = _CONTRACTS["purchase_orders"][1:]
+_LOADED = {
+    "purchase_orders": ("(SELECT * REPLACE (coalesce(received_qty, 0) AS received_qty) FROM o_a_po)", *_PO_NAMES),
+    "rejected_lines": (f"(SELECT * FROM o_sheet WHERE NOT ({_HEADER}) AND ({_BAD}))", *_PO_NAMES),
+    "ncrs": ("o_ncr", *_CONTRACTS["ncrs"][1:]),
+    "items": ("o_items", *_CONTRACTS["items"][1:]),
+    "vendors": _CONTRACTS["vendors"],
+}
 SQL["src_load_contract"] = " UNION ALL ".join(
     f"SELECT '{d}' AS table_name, '{c}' AS column_name, count(*) AS rows_total, "
-    f"count({c if have else 'NULL'}) AS rows_populated FROM {src}"
-    for d, (src, present, absent) in _CONTRACTS.items()
+    f"count({c if have else 'NULL'}) AS rows_populated, {_digest(_plain_text(c)) if have else 0} AS value_digest FROM {src}"
+    for d, (src, present, absent) in _LOADED.items()
     for have, names in ((True, present), (False, absent)) for c in names.split())
 SQL["contract_gaps"] = " UNION ALL ".join(
     f"SELECT '{d}' AS dataset, '{c}' AS column_name, {have} AS resolved, FALSE AS blocking, "
@@ -111,13 +134,6 @@ SQL["vendor_scope"] = " UNION ALL ".join(
                  ("all_companies", "TRUE")))
 SQL["supplier_display_name"] = "SELECT company_id, looked_up, display_name FROM o_shown"
 SQL["receipt_rollup"] = "SELECT * FROM o_rollup"
-SQL["sink_scorecard_tables"] = """
-SELECT 'vendor_scorecard' AS table_name, count(*) AS row_count FROM o_a_orders
-UNION ALL SELECT 'vendor_detail', count(*) * 5 FROM o_a_orders
-UNION ALL SELECT 'prototype_notes', 4 + 5 + 1
-UNION ALL SELECT 'unmatched_ncrs', count(*) FROM o_stray
-UNION ALL SELECT 'vendor_review', count(*) FROM o_vendor_review WHERE review_required"""
-
 # --- identity and vendor master ---
 SQL["vendor_identity"] = f"SELECT {LINE}, vendor_name, {KEY} FROM o_a_po"
 SQL["vendor_key_label"] = f"""
@@ -549,12 +565,18 @@ def basis(need: str, receipt: str, met: str, source: str = "o_facts", where: str
 
 
 _ONTIME = "log_last_receipt <= need"
-SQL["scope_fingerprint"] = " UNION ALL ".join(
+_PRINTS = " UNION ALL ".join(
     f"SELECT '{n}' AS candidate, " + basis("need", "log_last_receipt", _ONTIME, where=w, extra=(
         f", count(*) FILTER ({_ELIGIBLE} AND log_last_receipt > need) AS late, "
         "count(*) FILTER (uom IS NOT NULL AND unit_price > 0 AND part_number IS NOT NULL "
         "AND currency_code IS NOT NULL) AS commercial_base, "
         "count(DISTINCT supplier_company_id) AS distinct_suppliers")) for n, w in _CANDIDATES.items())
+_PRINTED = ("lines", "delivery_eligible", "on_time", "late", "commercial_base", "distinct_suppliers")
+SQL["scope_fingerprint"] = f"""
+SELECT p.*, {", ".join(f"p.{m} - t.{m} AS {m}_off" for m in _PRINTED)},
+       CAST({" + ".join(f"abs(p.{m} - t.{m})" for m in _PRINTED)} AS BIGINT) AS distance,
+       row_number() OVER (ORDER BY {" + ".join(f"abs(p.{m} - t.{m})" for m in _PRINTED)}, p.candidate) AS distance_rank
+FROM ({_PRINTS}) p, (SELECT * FROM ({_PRINTS}) WHERE candidate = '{next(iter(_CANDIDATES))}') t"""
 SQL["scope_distinct_suppliers"] = " UNION ALL ".join(
     f"SELECT '{n}' AS candidate, count(DISTINCT supplier_company_id) AS vendor_rows FROM o_facts WHERE {_CANDIDATES[n]}"
     for n in ("buyer 5-LOW", "projects BUILDING + MACHINERY"))
@@ -716,3 +738,34 @@ SQL["column_candidates"] = " UNION ALL ".join(
     f"SELECT '{f}' AS field, '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows_total, "
     f"count({c}) AS rows_populated FROM {s}"
     for (t, s), fields in _HITS.items() for f, cs in fields.items() for c in cs.split())
+
+
+# --- written result tables, which are made of texts above ---
+def _any_text(c: str) -> str:
+    c = f'"{c}"'
+    return (f"coalesce(CASE typeof({c}) WHEN 'DOUBLE' THEN CAST(CAST(round(TRY_CAST({c} AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR) "
+            f"WHEN 'TIMESTAMP' THEN strftime(TRY_CAST(CAST({c} AS VARCHAR) AS TIMESTAMP), '%Y%m%d%H%M%S') "
+            f"ELSE CAST({c} AS VARCHAR) END, '~')")
+
+
+def _row_digest(table: str, columns: list[str], text: str) -> str:
+    row = ", ".join(map(_any_text, sorted(columns)))
+    return (f"SELECT '{table}' AS table_name, count(*) AS row_count, {_digest(f"concat_ws('|', {row})")} AS value_digest "
+            f"FROM ({text.strip()})")
+
+
+RESULT_COLUMNS = {
+    "vendor_scorecard": list(HEADING.values()),
+    "vendor_detail": "vendor_key component weight metric sample score grade status".split(),
+    "unmatched_ncrs": f"""{KEY.replace(",", "")} ncr_number po_number line_no part_id supplier_company_id part_number vendor_name
+        quantity quantity_rejected resolved released created_date ncr_active supplier_linked ncr_quantity_anomaly
+        quality_eligible responsiveness_eligible quality_quantity quality_rejected_quantity resolved_flag
+        unresolved_flag match_status po_location_count""".split(),
+    "vendor_review": ["Company ID", "Vendor Name", "Address", "City", "Province / State", "Postal Code",
+                      "Vendor Data Status", "Exact Duplicate", "Review Reason", "Missing Component / Issue"],
+}
+RESULT_TABLES = {"vendor_scorecard": "scorecard_export", "vendor_detail": "vendor_component_detail",
+                 "unmatched_ncrs": "unmatched_ncr_export", "vendor_review": "vendor_review_export"}
+SQL["sink_scorecard_tables"] = " UNION ALL ".join(
+    [_row_digest(t, RESULT_COLUMNS[t], SQL[k]) for t, k in RESULT_TABLES.items()]
+    + ["SELECT 'prototype_notes', 4 + 5 + 1, NULL"])

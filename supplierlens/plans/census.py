@@ -154,13 +154,28 @@ def scope_census(lines: DataFrame) -> DataFrame:
 
 
 def scope_fingerprint(lines: DataFrame, candidates: dict[str, Column] | None = None,
-                      target: dict[str, int] | None = None) -> DataFrame:
-    """Six-measure signature per candidate scope, with the distance to a target if given."""
+                      target: dict[str, int] | str | None = None) -> DataFrame:
+    """Six-measure signature per candidate scope. With a target, known measures or the name of
+    a candidate that stands for it, also how far each measure is off, the sum of these
+    distances, and the candidates' rank from the nearest on."""
     out = measures_per_scope(lines, candidates or scope_candidates(), signature(), "candidate",
                              "supplier_company_id", "distinct_suppliers")
-    for name, wanted in (target or {}).items():
-        out = out.withColumn(f"{name}_off", F.col(name) - F.lit(wanted))
-    return out
+    measures = [c for c in out.columns if c != "candidate"]
+    if target is None:
+        return out
+    if isinstance(target, str):
+        wanted = out.where(F.col("candidate") == target).select(*[F.col(c).alias(f"_{c}") for c in measures])
+        out = out.join(F.broadcast(wanted))  # one row
+    else:
+        measures = [c for c in measures if c in target]
+        out = out.withColumns({f"_{c}": F.lit(target[c]) for c in measures})
+    out = out.withColumns({f"{c}_off": F.col(c) - F.col(f"_{c}") for c in measures}).drop(*[f"_{c}" for c in measures])
+    distance = F.lit(0).cast("long")
+    for c in measures:
+        distance = distance + F.abs(F.col(f"{c}_off"))
+    # One row per candidate, of which there are a handful.
+    nearest = Window.partitionBy().orderBy("distance", "candidate")
+    return out.withColumn("distance", distance).withColumn("distance_rank", F.row_number().over(nearest).cast("long"))
 
 
 def scope_suppliers(lines: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplierlens.functions.dates import text_to_timestamp
+from supplierlens.functions.digest import column_digests
 from supplierlens.functions.numeric import part_key, rounded
 from supplierlens.functions.text import display_name, vendor_label
 from supplierlens.operators import (
@@ -24,7 +25,7 @@ from supplierlens.operators.identity import VENDOR_KEY, with_vendor_identity
 from supplierlens.operators.scoring import COMPONENTS, load_rules
 from supplierlens.plans import census, reconcile, reports
 from supplierlens.plans import scorecard as cards
-from supplierlens.session import work_folder
+from supplierlens.session import work_folder, written
 from supplierlens.sources import contracts, extracts, ingest, sinks
 from supplierlens.sources import sampledata as sample
 
@@ -90,10 +91,14 @@ def _(spark, folder):
         paths[dataset] = work_folder(spark, f"delivered-{dataset}")
         contracts.to_contract(df, dataset).withColumnsRenamed(headers).write.option("header", True).option(
             "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(paths[dataset])
+    data, rejected = cards.load_files(spark, paths)
+    rejected = ingest.coerce_timestamps(ingest.coerce_numeric(rejected, contracts.PO_NUMERIC), contracts.PO_TIMESTAMPS)
+    loaded = {"purchase_orders": data.purchase_orders, "rejected_lines": rejected, "ncrs": data.ncrs,
+              "items": data.items, "vendors": data.vendors}
     out = None
-    for dataset, path in paths.items():
-        loaded = ingest.read_dataset(spark, path, dataset)
-        part = census.column_population(loaded, dataset, list(contracts.contract(dataset)))
+    for name, df in loaded.items():
+        columns = contracts.contract("purchase_orders" if name == "rejected_lines" else name)
+        part = column_digests(df, name, list(columns))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -135,7 +140,10 @@ def _(spark, folder):
 @query("coerce_boolean")
 def _(spark, folder):
     raw = sample.ncrs_raw(_tables(spark, folder)).withColumn("resolved_text", F.col("resolved"))
-    return ingest.coerce_truth(raw, ("resolved",)).select("ncr_number", "resolved_text", "resolved")
+    watch = ingest.TruthWatch(raw, ("resolved",))
+    kept = written(watch.df.select("ncr_number", "resolved_text", "resolved"), "truth-values")
+    watch.check()
+    return kept
 
 
 @query("po_receipt_fill")
@@ -241,10 +249,13 @@ def _(spark, folder):
 @query("sink_scorecard_tables")
 def _(spark, folder):
     data = cards.load_sample(spark, folder)
-    paths = reports.write_result_tables(
-        spark, cards.scorecard(data, RULES), cards.unmatched(data), cards.assessed_vendors(data),
-        RULES, work_folder(spark, "result-tables"))
-    return sinks.read_row_counts(spark, paths)
+    folder = work_folder(spark, "result-tables")
+    reports.write_result_tables(spark, rounded(cards.scorecard(data, RULES), STORED), cards.unmatched(data),
+                                cards.assessed_vendors(data), RULES, folder)
+    tables = sinks.read_result_set(spark, folder)
+    out = sinks.measured(spark, {name: f"{folder}/{name}" for name in tables})
+    # The notes are made of the rules alone; their text is no result.
+    return out.withColumn("value_digest", F.when(F.col("table_name") != "prototype_notes", F.col("value_digest")))
 
 
 @query("sink_recon_csv")
@@ -684,7 +695,7 @@ def _names(spark, folder):
 
 CENSUS = {
     "scope_census": (_facts, census.scope_census),
-    "scope_fingerprint": (_facts, census.scope_fingerprint),
+    "scope_fingerprint": (_facts, lambda lines: census.scope_fingerprint(lines, target="everything")),
     "scope_distinct_suppliers": (_facts, census.scope_suppliers),
     "date_basis_sensitivity": (_facts, census.date_basis),
     "date_basis_by_scope": (_facts, census.date_basis_by_scope),

@@ -372,18 +372,18 @@ def aggregation_controls(orders: DataFrame) -> DataFrame:
 # --- written results -----------------------------------------------------------------
 
 def write_result_tables(spark: SparkSession, card: DataFrame, strays: DataFrame, vendors: DataFrame,
-                        rules: dict, folder: str, fmt: str = "parquet") -> dict[str, str]:
-    """The five result tables. Vendor detail is read from the written scorecard, so the
-    scorecard is computed once and survives the loss of any executor."""
+                        rules: dict, folder: str) -> None:
+    """The five result tables as one set with a manifest. Vendor detail is read from the written
+    scorecard, so the scorecard is computed once and survives the loss of any executor."""
     kept = sinks.write_tables({"scorecard_rows": card}, folder)
     card = spark.read.parquet(kept["scorecard_rows"])
-    return sinks.write_tables({
+    sinks.write_result_set({
         "vendor_scorecard": scorecard_export(card),
         "vendor_detail": component_detail(card, rules),
         "prototype_notes": rules_notes(spark, rules),
         "unmatched_ncrs": strays,
         "vendor_review": vendor_review_export(vendors),
-    }, folder, fmt)
+    }, folder)
 
 
 def _current_snapshot(spark: SparkSession, path: str) -> tuple[str, dt.datetime] | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,22 +57,52 @@ def truth(x: Column) -> Column:
     )
 
 
-def unknown_truth_values(df: DataFrame, column: str, limit: int = 8) -> DataFrame:
-    """The first values that would fail ``coerce_truth``; an error message lists no more."""
-    x = F.col(column)
-    return (
-        df.where(truth(x).isNull() & x.isNotNull())
-        .select(x.cast("string").alias(column)).distinct().orderBy(column).limit(limit)
-    )
+#: Values that an error message names at most.
+NAMED = 8
+
+
+def unknown_truth_values(x: Column, buckets: int = 64) -> Column:
+    """Aggregate: up to NAMED distinct values that ``coerce_truth`` would not take, ascending.
+
+    Each of ``buckets`` hash buckets keeps its smallest such value, so the state is bounded
+    however many bad values there are. Of a few bad values two may share a bucket, and the
+    larger is then not named; a single one always is.
+    """
+    text = x.cast("string")
+    bad = F.when(truth(x).isNull() & x.isNotNull(), text)
+    bucket = F.pmod(F.xxhash64(text), F.lit(buckets))
+    kept = F.array(*[F.min(F.when(bucket == i, bad)) for i in range(buckets)])
+    return F.slice(F.sort_array(F.array_compact(kept)), 1, NAMED)
+
+
+def refuse(column: str, bad: list[str]) -> None:
+    if bad:
+        raise contracts.ContractError(f"{column}: not a truth value: {bad}")
 
 
 def check_truth(df: DataFrame, columns: tuple[str, ...]) -> None:
     """Fail a load with up to eight of the values that are neither true nor false."""
-    for c in columns:
-        if c in df.columns and not isinstance(df.schema[c].dataType, T.BooleanType):
-            bad = [row[0] for row in unknown_truth_values(df, c).collect()]
-            if bad:
-                raise contracts.ContractError(f"{c}: not a truth value: {bad}")
+    texts = [c for c in columns if c in df.columns and not isinstance(df.schema[c].dataType, T.BooleanType)]
+    if texts:
+        found = df.agg(*[unknown_truth_values(F.col(c)).alias(c) for c in texts]).first()
+        for c in texts:
+            refuse(c, found[c])
+
+
+class TruthWatch:
+    """Truth values as they are read: ``df`` has null for a value that is none, and after an
+    action on it ``check`` fails with up to eight of those values. No pass is added."""
+
+    def __init__(self, df: DataFrame, columns: tuple[str, ...]) -> None:
+        self._columns = [c for c in columns if c in df.columns and not isinstance(df.schema[c].dataType, T.BooleanType)]
+        self._seen = Observation()
+        if self._columns:
+            df = df.observe(self._seen, *[unknown_truth_values(F.col(c)).alias(c) for c in self._columns])
+        self.df = df.withColumns({c: truth(F.col(c)) for c in self._columns})
+
+    def check(self) -> None:
+        for c in self._columns:
+            refuse(c, self._seen.get[c])
 
 
 def coerce_truth(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
