@@ -13,7 +13,7 @@ from supplierlens.llm.common import written
 
 #: A shard has the conversations of one range of ids of this length, cut further where it has
 #: over SHARD_ROWS turns. Bitmaps have one bit per conversation of a shard.
-SHARD_IDS = 4096
+SHARD_IDS = 512
 SHARD_ROWS = 1 << 18
 _ROOT = bytes(16)
 
