@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from supplierlens.llm import text_hash
 from supplierlens.llm.common import written
-from supplierlens.llm.tokens import BYTE_LETTERS, has_even_blanks
+from supplierlens.llm.tokens import BYTE_LETTERS, has_even_blanks, ranked
 
 #: Bytes of text whose links share one list of distinct pairs. Larger blocks have fewer pairs in
 #: all; the arrays of a block take about as much memory as twice its texts.
@@ -79,7 +79,6 @@ class Aligner:
     def __init__(self, byte_path: str, piece_path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        import tiktoken
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(byte_path)
@@ -93,10 +92,7 @@ class Aligner:
         names = {i: t for t, i in file["model"]["vocab"].items() if t not in added}
         a_bytes = {i: bytes(byte_of[c] for c in t) for i, t in names.items()}
         a_bytes |= {i: t.encode() for t, i in added.items()}
-        # Ranks are the ids: true of a vocabulary whose ids are in the order of its merges.
-        self._ranked = tiktoken.Encoding(
-            "ranked", pat_str=r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
-            mergeable_ranks={a_bytes[i]: i for i in names}, special_tokens={}) if _in_merge_order(file) else None
+        self._ranked = ranked(file)
         self._pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         b_bytes, crossing = {}, []
         for i in range(self._pieces.get_piece_size()):
@@ -253,17 +249,6 @@ class Aligner:
         return sizes, key[starts] >> 2 * PAIR_SHIFT, key[starts] & ((1 << 2 * PAIR_SHIFT) - 1), weight
 
 
-def _in_merge_order(file: dict) -> bool:
-    """Whether each merge makes a token of a larger id than the merge before it."""
-    vocab, last = file["model"]["vocab"], -1
-    for x in file["model"]["merges"]:
-        token = vocab["".join(x.split(" ") if isinstance(x, str) else x)]
-        if token <= last:
-            return False
-        last = token
-    return True
-
-
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
