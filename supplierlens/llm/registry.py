@@ -74,8 +74,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    path = tokenizer_path("byte_bpe_50k.json")
-    out = token_counts.apply_edits(token_counts.count_trees(documents(spark, folder), path), path)
+    out = token_counts.count_edited(documents(spark, folder), tokenizer_path("byte_bpe_50k.json"))
     return out.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_segments", "n_recounted",
                       F.sha2("text", 256).alias("text_sha256"))
 

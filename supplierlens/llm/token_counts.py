@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplierlens.llm import tokens
+from supplierlens.llm import text_hash, tokens
 
 #: Pre-token units of a segment, the leaf of a tree.
 SEGMENT_UNITS = 32
@@ -196,6 +196,44 @@ def count_trees(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
         run, f"doc_id {kind}, text string, lengths array<long>, sums array<long>")
 
 
+def count_edited(docs: DataFrame, path: str, edits: Callable[[str], list[Edit]] = cleaning_edits,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``apply_edits`` of ``count_trees``, with the same rows and columns, in one step: a task has
+    one Python worker and one table of words, and trees do not pass through the JVM between.
+
+    Null texts are empty; repeated rows and null ids get rows of their own; other columns are
+    not looked at; an empty table gives an empty one.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(path)
+        for batch in batches:
+            for piece in text_hash.texts(batch.column(1)):
+                rows = batch.slice(piece.first, len(piece))
+                texts = [x or "" for x in rows.column(1).to_pylist()]
+                yield _edited(counter, rows.column(0), texts, counter.trees(texts), [edits(x) for x in texts])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, {_EDITED}")
+
+
+_EDITED = ("text string, lengths array<long>, sums array<long>, n_tokens_before long, n_tokens long, n_edits long, "
+           "n_segments long, n_recounted long")
+
+
+def _edited(counter: Counter, ids: pa.Array, texts: list[str], trees: list[CountTree], edits: list[list[Edit]]) -> pa.RecordBatch:
+    """Texts and trees after their edits, as rows of _EDITED."""
+    out: list[list] = [[] for _ in range(8)]
+    for text, tree, own in zip(texts, trees, edits, strict=True):
+        before = tree.total
+        text, again = counter.apply(text, tree, own)
+        for values, x in zip(out, (text, tree.lengths, tree.sums, before, tree.total, len(own), len(tree.lengths), again), strict=True):
+            values.append(x)
+    longs = pa.list_(pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [ids, *(pa.array(v, t) for v, t in zip(out, [pa.string(), longs, longs, *[pa.int64()] * 5], strict=True))],
+        ["doc_id", *[c.split(" ")[0] for c in _EDITED.split(", ")]])
+
+
 def apply_edits(trees: DataFrame, path: str, edits: str | Callable[[str], list[Edit]] = cleaning_edits) -> DataFrame:
     """``trees`` after edits: id, text, lengths, sums, n_tokens_before, n_tokens, n_edits,
     n_segments, n_recounted.
@@ -215,24 +253,12 @@ def apply_edits(trees: DataFrame, path: str, edits: str | Callable[[str], list[E
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path)
         for batch in batches:
-            out: list[list] = [[] for _ in range(8)]
             given = batch.column(4).to_pylist() if named else None
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                tree = CountTree(np.array(batch.column(2)[i].values), np.array(batch.column(3)[i].values))
-                own = [(e["start"], e["end"], e["replacement"]) for e in given[i] or []] if named else edits(text)
-                before = tree.total
-                text, again = counter.apply(text, tree, own)
-                for values, x in zip(out, (text, tree.lengths, tree.sums, before, tree.total, len(own),
-                                           len(tree.lengths), again), strict=True):
-                    values.append(x)
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(v, t) for v, t in zip(
-                    out, [pa.string(), longs, longs, *[pa.int64()] * 5], strict=True))],
-                ["doc_id", "text", "lengths", "sums", "n_tokens_before", "n_tokens", "n_edits", "n_segments",
-                 "n_recounted"])
+            texts = batch.column(1).to_pylist()
+            own = [[(e["start"], e["end"], e["replacement"]) for e in x or []] for x in given] if named else [edits(x) for x in texts]
+            found = [CountTree(np.array(batch.column(2)[i].values), np.array(batch.column(3)[i].values)) for i in range(len(texts))]
+            yield _edited(counter, batch.column(0), texts, found, own)
 
     kind = trees.schema["doc_id"].dataType.simpleString()
     return trees.select("doc_id", "text", "lengths", "sums", *extra).mapInArrow(
-        run, f"doc_id {kind}, text string, lengths array<long>, sums array<long>, n_tokens_before long, "
-             "n_tokens long, n_edits long, n_segments long, n_recounted long")
+        run, f"doc_id {kind}, {_EDITED}")

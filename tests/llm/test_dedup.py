@@ -157,7 +157,7 @@ def spans_by_hand(rows, min_sentences, min_words):
     places, texts = defaultdict(list), {}
     for i, t in rows:
         words, found = units(t or "")
-        texts[i] = (t or "", words, found)
+        texts[i, t] = (t or "", words, found)
         if i is None:
             continue
         for a in range(len(found)):
@@ -175,7 +175,7 @@ def spans_by_hand(rows, min_sentences, min_words):
                 covered[i].update(range(a, b))
     out = []
     for i, t in rows:
-        text, words, found = texts[i]
+        text, words, found = texts[i, t]
         gone = covered[i] if i is not None else set()
         left = text
         if gone:

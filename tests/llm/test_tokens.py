@@ -234,3 +234,13 @@ def test_cleaning_edits():
     text = "mail joe.x@mail.example.com or +1 (017) 555-7713\nline\nline\n10.20.30.40 and 4845168114407329"
     assert token_counts.edited(text, token_counts.cleaning_edits(text)) == (
         "mail <email> or <phone>\nline\n<address> and <number>")
+
+
+def test_one_step_counts_as_two_do(docs):
+    two = token_counts.apply_edits(token_counts.count_trees(docs, BYTE), BYTE)
+    one = token_counts.count_edited(docs, BYTE)
+    assert one.columns == two.columns
+    def key(r):
+        return str(r)
+
+    assert sorted(map(key, one.collect())) == sorted(map(key, two.collect()))
