@@ -19,6 +19,22 @@ from supplierlens.llm import tokens
 
 END_OF_WORD = "</w>"
 # Fixed value: the word pattern of the vocabulary file.
+_SETTLED = re.compile("[\0-\u024f]+").fullmatch
+_LETTER, _DIGIT = regex.compile(r"\p{L}").match, regex.compile(r"\p{N}").match
+
+
+def is_settled(unit: str) -> bool:
+    """Whether editions of Unicode agree on what is a letter, a digit or neither in a unit. They
+    do not on characters that are unassigned in one of them; the library cuts such units."""
+    if _SETTLED(unit):
+        return True
+    for c in unit:
+        kind = unicodedata.category(c)
+        if kind == "Cn" or (kind[0] == "L") != bool(_LETTER(c)) or (kind[0] == "N") != bool(_DIGIT(c)):
+            return False
+    return True
+
+
 _words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
 
@@ -36,6 +52,7 @@ class WordBpe:
     """
 
     def __init__(self, path: str) -> None:
+        self._path = path
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         vocabulary, merges = file["model"]["vocab"], file["model"]["merges"]
@@ -186,11 +203,14 @@ class WordBpe:
         return [ids[x].tobytes() for x in found]
 
     def _encode_units(self, units: list[str]) -> list[bytes]:
-        plain = [split_words(x) if "<|" not in x else [] for x in units]
+        asked = {i for i, x in enumerate(units) if not is_settled(x)}
+        plain = [split_words(x) if "<|" not in x and i not in asked else [] for i, x in enumerate(units)]
         known = self._words.over(plain).__getitem__
         out = [b"".join(map(known, x)) for x in plain]
+        for i in asked:
+            out[i] = self._library().encode([units[i]])[0]
         for i, unit in enumerate(units):
-            if "<|" in unit:  # it may hold names of special tokens, which are tokens of their own
+            if "<|" in unit and i not in asked:  # it may hold names of special tokens, which are tokens of their own
                 parts = [x if x in self.special else split_words(x) for x in self._cut(unit)]
                 known = self._words.over([x for x in parts if isinstance(x, list)])
                 out[i] = b"".join(self.special[x].to_bytes(2, "little") if isinstance(x, str)
@@ -203,6 +223,9 @@ class WordBpe:
         known = self._units.over(split).__getitem__
         return [np.frombuffer(b"".join(map(known, x)), "<u2") for x in split]
 
+    def _library(self) -> tokens.Encoder:
+        return tokens.encoder(self._path)
+
     def _cut(self, text: str) -> list[str]:
         """The text cut at the names of special tokens."""
         return [x for x in re.split("(" + "|".join(map(re.escape, self.special)) + ")", text) if x]

@@ -60,6 +60,11 @@ def test_any_text(text):
 _LIBRARIES: dict = {}
 
 
+def test_characters_on_which_editions_of_unicode_differ(library):
+    texts = [":\U0003d000", "a\U0003d000", "1\u0558x", "\U000105c0ab", "x\ua7cb", "a\u0378 b:\u0378<|endoftext|>"]
+    assert [x.tolist() for x in bpe.WordBpe(WORD).encode(texts)] == ids_of(library, WORD, texts)
+
+
 def test_compatible_pairs_are_those_that_merging_leaves():
     b = bpe._bpe(WORD)
     rnd = random.Random(3)
