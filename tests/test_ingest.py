@@ -55,29 +55,31 @@ def loaded(spark, tmp_path_factory):
     return scorecard.load_files(spark, delivered(tmp_path_factory.mktemp("delivered")), multi_line=("ncrs",))
 
 
-def test_parity_dataset(spark, loaded):
+def test_delivered_files(spark, loaded):
     data, rejected = loaded
-    assert [r["part_number"] for r in rejected.collect()] == ["P-300"]
-    cards = {r["vendor_match_name"]: r for r in scorecard.scorecard(data, load_rules()).collect()}
-    assert {(r["vendor_match_name"], r["vendor_match_city"]) for r in cards.values()} == {
-        ("ACME STEEL", "BRAMPTON"), ("HOPE LAND", "SHANGHAI")}
-    acme, hope = cards["ACME STEEL"], cards["HOPE LAND"]
-    assert (acme["po_transaction_count"], hope["po_transaction_count"]) == (6, 1)
-    assert (acme["delivery_eligible_count"], acme["on_time_count"], acme["late_count"]) == (6, 6, 0)
-    assert (acme["price_comparison_count"], acme["price_stable_count"], acme["price_stability_pct"]) == (5, 2, 40)
-    assert (acme["supplier_linked_ncr_count"], acme["quality_eligible_ncr_count"], acme["resolved_ncr_count"],
-            acme["unresolved_ncr_count"]) == (2, 1, 1, 1)
-    assert [acme[f"{c}_prototype_grade"] for c in ("delivery", "quality", "lead_time", "responsiveness", "commercial")] == [
-        "A", "D", "N/A", "N/A", "D"]
-    assert (acme["prototype_scored_component_count"], acme["prototype_weight_coverage_pct"]) == (3, 70)
-    assert acme["prototype_overall_score"] == pytest.approx(47.142857, abs=1e-6)
-    assert (hope["prototype_overall_grade"], hope["prototype_overall_status"]) == ("N/A", "INSUFFICIENT COMPONENT COVERAGE")
-
-
-def test_parity_vendors(loaded):
+    assert [r["part_number"] for r in rejected.collect()] == ["K-9"]
+    rules = load_rules()
+    cards = {(r["vendor_match_name"], r["vendor_match_city"]): r for r in scorecard.scorecard(data, rules).collect()}
+    assert set(cards) == {("TIDE WORKS", "PORTO"), ("FERRO OY", "TURKU")}
+    tide, ferro = cards["TIDE WORKS", "PORTO"], cards["FERRO OY", "TURKU"]
+    assert (tide["po_transaction_count"], ferro["po_transaction_count"]) == (7, 1)
+    assert (tide["delivery_eligible_count"], tide["on_time_count"], tide["late_count"], tide["average_days_late"]) == (7, 6, 1, 10)
+    assert (tide["price_comparison_count"], tide["price_stable_count"], tide["price_increase_count"]) == (6, 4, 2)
+    assert (tide["supplier_linked_ncr_count"], tide["quality_eligible_ncr_count"], tide["resolved_ncr_count"],
+            tide["unresolved_ncr_count"]) == (2, 1, 1, 1)
+    delivery, quality, price = 600 / 7, tide["quality_prototype_score"], 400 / 6
+    assert [tide[f"{c}_prototype_grade"] for c in ("delivery", "lead_time", "responsiveness", "commercial")] == [
+        "B", "N/A", "N/A", "D"]
+    assert 0 <= quality < 50
+    assert (tide["prototype_scored_component_count"], tide["prototype_weight_coverage_pct"]) == (3, 70)
+    assert tide["prototype_overall_score"] == pytest.approx((25 * delivery + 25 * quality + 20 * price) / 70)
+    assert (ferro["prototype_overall_grade"], ferro["prototype_overall_status"]) == ("N/A", "INSUFFICIENT COMPONENT COVERAGE")
+
+
+def test_delivered_vendors(loaded):
     rows = {r["company_id"]: r for r in assess(loaded[0].vendors).collect()}
-    assert rows["501"]["vendor_quality_status"] == "COMPLETE"
-    assert rows["502"]["review_reason"] == "MISSING: ADDRESS, POSTAL CODE"
+    assert rows["9"]["vendor_quality_status"] == "COMPLETE"
+    assert rows["10"]["review_reason"] == "MISSING: ADDRESS, POSTAL CODE"
 
 
 def test_blank_and_zero_receipts_are_the_documented_difference(spark):
