@@ -13,14 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from supplierlens.llm.common import written
+
 #: Labelled pages that the weights are fitted on at most. A page is labelled when it marks its
-#: own content with exactly one <article> or <main>. The first by a hash of the page's id are
-#: taken; every page is extracted with the same weights.
+#: own content with exactly one <article> or <main>. The first by a hash of the page's id and
+#: url are taken; every page is extracted with the same weights.
 LABELLED_PAGES = 600
-#: Features that keep a fitted weight: the most frequent ones.
-FEATURES = 2000
 #: Bound of a weight, and pseudo-counts that hold it near its prior while a feature is rare.
 MOST, PRIOR_COUNT = 4.0, 3.0
+#: Weight of a class or id that is a noise or a content word alone, before any page is seen, and
+#: the evidence of all names of a block below which the block is no content.
+NOISE_NAME, CONTENT_NAME, NOISE_BELOW = -3.0, 1.5, -0.5
 
 # Elements of the HTML standard.
 _RAW = {"script", "style", "textarea", "title", "template", "noscript", "iframe", "xmp", "noembed", "noframes"}
@@ -35,7 +38,10 @@ _CLOSES_P = _BLOCKS - {"button", "body", "html", "head", "caption", "td", "th",
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}}
 
-#: Elements, roles, and words of a class or id that stand for something other than content.
+#: Elements that an open <p> is not looked for beyond.
+_SCOPES = {"button", "caption", "object", "table", "td", "th"}
+#: Elements and roles that stand for something other than content, and words of a class or id
+#: that are evidence of it.
 NOISE_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset", "object",
               "svg", "search", "head", "canvas", "audio", "video", "label"}
 NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog",
@@ -67,9 +73,10 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 class Part:
     """A tag (no text) or a run of text of a page, in page order.
 
-    ``feature`` is the tag, with a ! in noise, or for text the element and classes that it stands in; ``inside``
-    says that it lies in <article> or <main>, ``noise`` that it lies in an element that by its
-    name, role or class is no content, ``breaks`` that a tag ends a block or a line.
+    ``feature`` is the tag, or for text the element that it stands in, without the marks that
+    pages are labelled by; ``inside`` says that it lies in <article> or <main>, ``noise`` that
+    it lies in an element that by its name or role is no content or is hidden, ``breaks`` that
+    a tag ends a block or a line. ``named`` are the numbers of the named blocks that hold it.
     """
 
     feature: str
@@ -77,70 +84,97 @@ class Part:
     inside: bool
     noise: bool
     breaks: bool
+    named: tuple[int, ...]
+
+    @property
+    def words(self) -> int:
+        return len(self.text.split())
 
 
 @dataclass(slots=True)
 class _Block:
-    """An open block. ``number`` is set where only its class or id says that it is noise."""
+    """An open block. ``number`` is set where it has a class or id."""
 
     name: str
-    feature: str
-    noise: tuple[int, ...]
+    noise: bool
     inside: bool
+    named: tuple[int, ...]
     number: int = 0
     holds_content: bool = False
     holds_title: bool = False
     paragraphs: int = 0
 
 
+#: The names of a block: for each class and the id its words in small letters.
+Names = list[tuple[str, ...]]
+
+
 def _attributes(text: str) -> dict[str, str]:
     if not text or text.isspace():
         return {}
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
 
 
-def _noise_level(name: str, attributes: dict[str, str]) -> int:
-    """2: no content in any case. 1: none unless it wraps an article or main element, or a title
-    and several paragraphs."""
+def _is_noise(name: str, attributes: dict[str, str]) -> bool:
+    """No content by its element or role, or hidden."""
     if name in _NEVER_NOISE:
-        return 0
+        return False
     if ("hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
             or _HIDDEN.search(attributes.get("style", ""))):
-        return 2
-    if name in NOISE_TAGS or attributes.get("role", "").lower() in NOISE_ROLES:
-        return 1 if name == "form" else 2
-    for key in ("class", "id"):
-        if key in attributes and not NOISE_WORDS.isdisjoint(x.lower() for x in _NAME_WORDS.findall(attributes[key])):
-            return 1
-    return 0
+        return True
+    return name != "form" and (name in NOISE_TAGS or attributes.get("role", "").lower() in NOISE_ROLES)
+
+
+def _names(name: str, attributes: dict[str, str]) -> Names:
+    """The names of a block. A form is one by its element, unless it wraps the page."""
+    if name in _NEVER_NOISE:
+        return []
+    given = (attributes.get("class", "") + " " + attributes.get("id", "")).split()
+    found = [tuple(w.lower() for w in _NAME_WORDS.findall(x)) for x in given]
+    return [("form",)] if name == "form" else [x for x in found if x]
+
 
+def parts(page: str) -> tuple[list[Part], dict[int, Names]]:
+    """The page as tags and texts, and the names of its named blocks.
 
-def parts(page: str) -> list[Part]:
-    """The page as tags and texts. Comments, declarations and raw-text elements are left out."""
+    Comments, declarations and raw-text elements are left out, and so are the names of blocks
+    that wrap the content: an article or main element, or a title and several paragraphs.
+    """
     out: list[Part] = []
-    within: list[tuple[int, ...]] = []  # for each part, numbers of the blocks that make it noise
-    stack = [_Block("", "text:", (), False)]
-    wrappers: set[int] = set()  # blocks that look like noise by class but hold the content
+    stack = [_Block("", False, False, ())]
+    names: dict[int, Names] = {}
     made = at = 0
 
+    def place(block: _Block) -> str:
+        parent = stack[-2].name if block.name in ("p", "li") and len(stack) > 1 else ""
+        element, parent = ("div" if x in ("article", "main") else x for x in (block.name, parent))
+        return f"text:{element} in {parent}" if parent else f"text:{element}"
+
     def add(feature: str, piece: str, block: _Block, breaks: bool) -> None:
-        out.append(Part(feature, piece, block.inside, False, breaks))
-        within.append(block.noise)
+        out.append(Part(feature, piece, block.inside, block.noise, breaks, block.named))
 
     def text(piece: str) -> None:
         if piece:
-            add(stack[-1].feature, html.unescape(piece) if "&" in piece else piece, stack[-1], False)
+            add(place(stack[-1]), html.unescape(piece) if "&" in piece else piece, stack[-1], False)
 
     def close(k: int) -> None:
         while len(stack) > k:
             block = stack.pop()
             if block.number and (block.holds_content or block.holds_title and block.paragraphs >= 3):
-                wrappers.add(block.number)
+                del names[block.number]
             top = stack[-1]
             top.holds_content |= block.holds_content
             top.holds_title |= block.holds_title
             top.paragraphs += block.paragraphs
 
+    def open_p() -> int:
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k].name == "p":
+                return k
+            if stack[k].name in _SCOPES:
+                break
+        return 0
+
     while match := _TOKEN.search(page, at):
         text(page[at:match.start()])
         at = match.end()
@@ -156,68 +190,115 @@ def parts(page: str) -> list[Part]:
                 at = end.end() if end else len(page)
             continue
         block = name in _BLOCKS
+        feature = "div" if name in ("article", "main") else name
         if ends:
             if block:
                 k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
                 if k:
                     close(k)
-            add("/" + name, "", stack[-1], block)
+            add("/" + feature, "", stack[-1], block)
             continue
         if not block:
-            add(name, "", stack[-1], name in ("br", "hr"))
+            add(feature, "", stack[-1], name in ("br", "hr"))
             continue
-        if name in _CLOSES_P and any(b.name == "p" for b in stack[-3:]):
-            close(max(i for i in range(len(stack)) if stack[i].name == "p"))
+        if name in _CLOSES_P and (k := open_p()):
+            close(k)
         if name in _SIBLINGS and stack[-1].name in _SIBLINGS[name]:
             close(len(stack) - 1)
         top = stack[-1]
         attributes = _attributes(match["attrs"] or match["attrs2"] or "")
-        level = _noise_level(name, attributes)
-        made += 1
-        words = sorted({x.lower() for x in _NAME_WORDS.findall(
-            attributes.get("class", "") + " " + attributes.get("id", ""))})[:4]
-        parent = top.feature.partition(":")[2].partition(" in ")[0] if name in ("p", "li") and not words else ""
-        hard = level == 2 or top.feature.startswith("text!")
+        own = _names(name, attributes)
+        if own:
+            made += 1
+            names[made] = own
+        marks = name in ("article", "main")
         stack.append(_Block(
-            name, ("text!:" if hard else "text:") + ".".join([name, *words]) + (f" in {parent}" if parent else ""),
-            (*top.noise, made) if level else top.noise, top.inside or name in ("article", "main"),
-            number=made if level == 1 else 0, holds_content=name in ("article", "main"), holds_title=name == "h1",
-            paragraphs=int(name == "p")))
-        add(name, "", stack[-1], True)
+            name, top.noise or _is_noise(name, attributes), top.inside or marks, (*top.named, made) if own else top.named,
+            number=made if own else 0, holds_content=marks, holds_title=name == "h1", paragraphs=int(name == "p")))
+        add(feature, "", stack[-1], True)
     text(page[at:])
     close(1)
-    for part, blocks in zip(out, within, strict=True):
-        part.noise = any(b not in wrappers for b in blocks)
-        if part.noise and not part.feature.startswith("text"):
-            part.feature = "!" + part.feature
-    return out
+    return out, names
+
+
+def _name_prior(word: str) -> float:
+    return NOISE_NAME if word in NOISE_WORDS or word == "form" else CONTENT_NAME if word in CONTENT_WORDS else 0.0
+
+
+def _evidence(names: Names, weights: dict[str, float]) -> float:
+    """What the names of a block say: the mean of those that say anything.
+
+    A name weighs the mean of its words, so that share-price says less than share; its content
+    words count for nothing beside a noise word, since post-comments are comments.
+    """
+    said = []
+    for name in names:
+        own = [weights.get("name:" + w, _name_prior(w)) for w in name]
+        weight = sum(min(x, 0.0) if min(own) < 0 else x for x in own) / len(own)
+        if weight:
+            said.append(weight)
+    return sum(said) / len(said) if said else 0.0
+
+
+def _noise_blocks(all_parts: list[Part], names: dict[int, Names], weights: dict[str, float]) -> set[int]:
+    """Numbers of the blocks that are no content by the evidence of their names.
+
+    A block of mixed names that holds over four fifths of the words that could be content is
+    content whatever its names say; where the page marks its content, only one inside the mark.
+    """
+    against = {k: e for k, v in names.items() if (e := _evidence(v, weights)) < NOISE_BELOW}
+    held = dict.fromkeys(against, 0)
+    marked = free = 0
+    for part in all_parts:
+        if part.noise or not (n := part.words):
+            continue
+        marked += n * part.inside
+        holders = [k for k in part.named if k in against]
+        free += n * (not holders)
+        for k in holders:
+            held[k] += n
+    inside = {k for p in all_parts if p.inside for k in p.named} if marked else set(against)
+    return {k for k, e in against.items()
+            if e <= NOISE_NAME or held[k] <= 4 * free or k not in inside}
 
 
 def _prior(feature: str) -> float:
-    """Weight of a word or tag before any page is seen: words positive, tags negative."""
-    if not feature.startswith("text"):
-        return -0.2 if feature.lstrip("!/") in _TEXT_TAGS else -1.0
-    names = set(re.split(r"[. ]", feature.partition(":")[2]))
-    if feature.startswith("text!") or names & (NOISE_TAGS | NOISE_WORDS):
-        return -MOST
-    return 1.0 if names & ({"p", "h1", "h2", "h3", "blockquote", "pre"} | CONTENT_WORDS) else 0.5
+    """Weight of a word, tag or name before any page is seen: words positive, tags negative."""
+    kind, colon, place = feature.partition(":")
+    if kind == "name":
+        return _name_prior(place)
+    if not colon:
+        return -0.2 if feature.lstrip("/") in _TEXT_TAGS else -1.0
+    return 1.0 if place.partition(" in ")[0] in ("p", "h1", "h2", "h3", "blockquote", "pre") else 0.5
 
 
 def counts(page: str) -> Counter[tuple[str, bool]]:
-    """How often each feature of a labelled page stands inside and outside its content."""
+    """How often each feature of a labelled page stands inside and outside its content.
+
+    Places are counted by words, names once a page and side. The mark says nothing of a block
+    inside it whose names stand for noise, as adverts stand in articles.
+    """
     found: Counter[tuple[str, bool]] = Counter()
-    for part in parts(page):
-        n = len(part.text.split()) if part.feature.startswith("text") else 1
-        if n:
-            found[part.feature, part.inside and not part.noise] += n
+    seen: set[tuple[str, bool]] = set()
+    all_parts, names = parts(page)
+    noise = {k for k, v in names.items() if _evidence(v, {}) < NOISE_BELOW}
+    for part in all_parts:
+        if part.noise or part.inside and not noise.isdisjoint(part.named):
+            continue
+        if not part.feature.startswith("text:"):
+            found[part.feature, part.inside] += 1
+        elif n := part.words:
+            found[part.feature, part.inside] += n
+            seen.update(("name:" + w, part.inside) for k in part.named if k in names for x in names[k] for w in x)
+    found.update(seen)
     return found
 
 
 def fitted(table: list[tuple[str, int, int]]) -> dict[str, float]:
     """Weights from (feature, count inside, count outside): log odds, drawn to the prior.
 
-    Words weigh what their place says; a tag never weighs more than nothing, since tags only
-    cost.
+    Words and names weigh what the labelled pages say; a tag never weighs more than nothing,
+    since tags only cost.
     """
     out = {}
     for feature, inside, outside in table:
@@ -226,70 +307,91 @@ def fitted(table: list[tuple[str, int, int]]) -> dict[str, float]:
         odds = math.log((inside + 0.5) / (outside + 0.5))
         weight = (n * odds + PRIOR_COUNT * prior) / (n + PRIOR_COUNT)
         weight = max(-MOST, min(MOST, weight))
-        out[feature] = weight if feature.startswith("text") else min(weight, -0.05)
+        out[feature] = weight if ":" in feature else min(weight, -0.05)
     return out
 
 
-def fit_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+def fit_weights(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                 labelled: int = LABELLED_PAGES) -> dict[str, float]:
-    """Weights by feature from at most ``labelled`` labelled pages, counted on the executors."""
-    lower = F.lower(html_col)
-    marks = (F.regexp_count(lower, F.lit(r"<(article|main)[\s>]")) == 1)
-    sample = (pages.where(marks).orderBy(F.xxhash64(id_col), id_col).limit(labelled)
-              .select(F.col(html_col).alias("html")))
+    """Weights by feature from at most ``labelled`` labelled pages, counted on the executors.
+
+    Pages are read once: those whose hash lies in a share of the hashes that about four times
+    ``labelled`` pages have are counted, and of the labelled ones the first by hash are taken.
+    So the pages looked at are as many for a large table as for a small one. Pages alike in id
+    and url count once.
+    """
+    mark = r"(?i)<(article|main)[\s>]"
+    total = pages.count()
+    hashed = pages.select(F.xxhash64(id_col, url_col).alias("at"), F.col(html_col).alias("html"))
+    if total > 4 * labelled:
+        last = int(-(1 << 63) + (1 << 64) * (4 * labelled / total))
+        hashed = hashed.where(F.col("at") < last)
+    sample = (hashed.where(F.regexp_count("html", F.lit(mark)) == 1).groupBy("at").agg(F.min("html").alias("html")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[tuple[str, bool]] = Counter()
         for batch in batches:
-            for page in batch.column(0).to_pylist():
-                found += counts(page)
-        keys = list(found)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([found[k[0], True] if k[1] else 0 for k in keys], pa.int64()),
-             pa.array([0 if k[1] else found[k[0], False] for k in keys], pa.int64())], ["feature", "inside", "outside"])
-
-    table = (sample.mapInArrow(run, "feature string, inside long, outside long")
-             .groupBy("feature").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-             .orderBy((F.col("inside") + F.col("outside")).desc(), "feature").limit(FEATURES))
+            for at, page in zip(batch.column(0), batch.column(1), strict=True):
+                found = counts(page.as_py())
+                keys = list(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at.as_py()] * len(keys), pa.int64()), pa.array([k[0] for k in keys], pa.string()),
+                     pa.array([found[k] if k[1] else 0 for k in keys], pa.int64()),
+                     pa.array([0 if k[1] else found[k] for k in keys], pa.int64())], ["at", "feature", "inside", "outside"])
+
+    each = written(sample.mapInArrow(run, "at long, feature string, inside long, outside long"), "page-features")
+    last_taken = each.select("at").distinct().orderBy("at").limit(labelled).agg(F.max("at")).first()[0]
+    if last_taken is None:
+        return {}
+    table = (each.where(F.col("at") <= last_taken)
+             .groupBy("feature").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")))
     return fitted([tuple(r) for r in table.collect()])
 
 
-def _weight(part: Part, weights: dict[str, float]) -> float:
+def _weight(part: Part, noise: bool, weights: dict[str, float]) -> float:
     """A tag's weight, or that of all words of a text.
 
     Inside a marked content element words count at least 1 and tags cost little, so that a
     list does not end the region. Noise is left out of a region's text and costs next to
     nothing, so that an advert between two paragraphs does not part them.
     """
-    n = len(part.text.split()) if part.feature.startswith("text") else 1
-    if part.noise:
+    is_text = part.feature.startswith("text:")
+    n = part.words if is_text else 1
+    if noise:
         return 0.0 if part.inside else -0.1 * n
-    fitted_weight = weights.get(part.feature)
-    weight = _prior(part.feature) if fitted_weight is None else fitted_weight
-    if part.feature.startswith("text"):
+    weight = weights.get(part.feature)
+    weight = _prior(part.feature) if weight is None else weight
+    if is_text:
         return n * (max(weight, 1.0) if part.inside else weight)
     return max(weight, -0.2) if part.inside else weight
 
 
-def main_text(page: str, weights: dict[str, float]) -> str:
-    """Text of the best contiguous region, blocks in page order joined by one space.
-
-    One scan over the page's words and tags keeps the best sum of weights that ends here and
-    the best so far. Words of elements that are no content by name, role or class are left
-    out of the region's text. A page without any word of positive weight has no text.
-    """
-    all_parts = parts(page)
+def _region(all_parts: list[Part], noise: list[bool], weights: dict[str, float]) -> tuple[int, int]:
     best, best_range, run, start = 0.0, (0, 0), 0.0, 0
     for i, part in enumerate(all_parts):
         if run <= 0:
             run, start = 0.0, i
-        run += _weight(part, weights)
+        run += _weight(part, noise[i], weights)
         if run > best:
             best, best_range = run, (start, i + 1)
-    chosen = all_parts[slice(*best_range)]
+    return best_range
+
+
+def main_text(page: str, weights: dict[str, float]) -> str:
+    """Text of the best contiguous region, blocks in page order joined by one space.
+
+    One scan over the page's words and tags keeps the best sum of weights that ends here and
+    the best so far. Words of elements that are no content by element, role or the evidence of
+    their names are left out of the region's text. Where no place of a page has a positive
+    fitted weight, the weights before fitting decide.
+    """
+    all_parts, names = parts(page)
+    blocks = _noise_blocks(all_parts, names, weights)
+    noise = [p.noise or not blocks.isdisjoint(p.named) for p in all_parts]
+    begin, end = _region(all_parts, noise, weights)
+    if begin == end:
+        begin, end = _region(all_parts, noise, {})
     return " ".join("".join(
-        (" " if p.breaks or p.noise else "") if not p.feature.startswith("text") else ("" if p.noise else p.text)
-        for p in chosen).split())
+        (" " if all_parts[i].breaks or noise[i] else all_parts[i].text) for i in range(begin, end)).split())
 
 
 def extract_main_text(pages: DataFrame, weights: dict[str, float] | None = None, id_col: str = "page_id",
@@ -306,7 +408,7 @@ def extract_main_text(pages: DataFrame, weights: dict[str, float] | None = None,
     fixed = fit_weights(base) if weights is None else weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 64) for b in batches for i in range(0, len(b), 64)):
             found = [main_text(x, fixed) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.string()),

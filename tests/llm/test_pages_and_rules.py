@@ -53,6 +53,61 @@ def test_small_pages(page, text):
     assert html_extract.main_text(page, {}) == text
 
 
+def words_of(n):
+    return " ".join(f"w{i}" for i in range(n))
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<div class='content header-image'><p>{words_of(80)}</p></div>", words_of(80)),
+    (f"<div class='share-price'>{words_of(72)}</div>", words_of(72)),
+    (f"<main><p>a b c</p><section class='related-work'><p>{words_of(32)}</p></section></main>", "a b c " + words_of(32)),
+    (f"<main><p>{words_of(9)}</p></main><div class='related-work'><p>{words_of(90)}</p></div>", words_of(9)),
+    (f"<div><p>{words_of(30)}</p><div class='post-comments'><p>a {words_of(90)}</p></div></div>", words_of(30)),
+    (f"<p>{words_of(30)}<p>b<table><tr><td><b><i><p>{words_of(40)}</table>", f"{words_of(30)} b {words_of(40)}"),
+])
+def test_names_are_evidence(spark, corpus, page, text):
+    assert html_extract.main_text(page, {}) == text
+    assert html_extract.main_text(page, html_extract.fit_weights(pages(spark, corpus))) == text
+
+
+def test_names_learned_from_labelled_pages():
+    """A name that is in no list is noise where labelled pages hold it outside the mark only."""
+    page = ("<div class='kasten'><p>{0} x</p></div><article><h1>t</h1><p class='vorspann'>{0}</p></article>").format(words_of(12))
+    found = Counter()
+    for _ in range(40):
+        found.update(html_extract.counts(page))
+    weights = html_extract.fitted([(f, found[f, True], found[f, False]) for f in {k[0] for k in found}])
+    assert weights["name:kasten"] < -2 and weights["name:vorspann"] > 2
+    other = f"<div><p>one two</p><div class='kasten'><p>{words_of(5)}</p></div><p class='vorspann'>three</p></div>"
+    assert html_extract.main_text(other, weights) == "one two three"
+    assert html_extract.main_text(other, {}) == f"one two {words_of(5)} three"
+
+
+def without_marks(page):
+    """``page`` without classes, ids, and the elements that mark its content."""
+    return re.sub(r"\s(class|id)=\"[^\"]*\"", "", re.sub(r"<(/?)(article|main)\b", r"<\1div", page))
+
+
+def test_fitted_weights_beat_the_prior_on_held_out_pages(spark, corpus):
+    """Fitted on half of the pages, tried on the others with marks, classes and ids gone."""
+    table = pages(spark, corpus)
+    weights = html_extract.fit_weights(table.where("page_id % 2 = 0"))
+    held_out = [r["html"] for r in table.where("page_id % 2 = 1").collect()]
+
+    def right(w):
+        return sum(html_extract.main_text(without_marks(p), w) == article_by_hand(p) for p in held_out)
+
+    assert right(weights) >= 0.95 * len(held_out) > right({})
+
+
+def test_fit_looks_at_a_bounded_number_of_pages(spark, corpus):
+    table = pages(spark, corpus)
+    assert html_extract.fit_weights(table.limit(0)) == {}
+    few = html_extract.fit_weights(table, labelled=4)
+    assert few and few["text:p in div"] > 0
+    assert few == html_extract.fit_weights(table.union(table).repartition(5), labelled=4) or table.count() > 8
+
+
 def test_page_rows(spark):
     rows = [(1, "u", "<p>one two</p>"), (1, "u", "<p>one two</p>"), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "long words " * 50_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
