@@ -347,8 +347,8 @@ def fit_weights(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return fitted([tuple(r) for r in table.collect()])
 
 
-def _weight(part: Part, noise: bool, weights: dict[str, float]) -> float:
-    """A tag's weight, or that of all words of a text.
+def _weight(part: Part, noise: bool, gain: float, weights: dict[str, float]) -> float:
+    """A tag's weight, or that of all words of a text; ``gain`` is what names say for it.
 
     Inside a marked content element words count at least 1 and tags cost little, so that a
     list does not end the region. Noise is left out of a region's text and costs next to
@@ -361,16 +361,17 @@ def _weight(part: Part, noise: bool, weights: dict[str, float]) -> float:
     weight = weights.get(part.feature)
     weight = _prior(part.feature) if weight is None else weight
     if is_text:
-        return n * (max(weight, 1.0) if part.inside else weight)
+        return n * (max(weight, 1.0) if part.inside else weight + gain)
     return max(weight, -0.2) if part.inside else weight
 
 
-def _region(all_parts: list[Part], noise: list[bool], weights: dict[str, float]) -> tuple[int, int]:
+def _region(all_parts: list[Part], noise: list[bool], gains: dict[int, float],
+            weights: dict[str, float]) -> tuple[int, int]:
     best, best_range, run, start = 0.0, (0, 0), 0.0, 0
     for i, part in enumerate(all_parts):
         if run <= 0:
             run, start = 0.0, i
-        run += _weight(part, noise[i], weights)
+        run += _weight(part, noise[i], max((gains.get(k, 0.0) for k in part.named), default=0.0), weights)
         if run > best:
             best, best_range = run, (start, i + 1)
     return best_range
@@ -387,9 +388,10 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     all_parts, names = parts(page)
     blocks = _noise_blocks(all_parts, names, weights)
     noise = [p.noise or not blocks.isdisjoint(p.named) for p in all_parts]
-    begin, end = _region(all_parts, noise, weights)
+    gains = {k: max(_evidence(v, weights), 0.0) for k, v in names.items()}
+    begin, end = _region(all_parts, noise, gains, weights)
     if begin == end:
-        begin, end = _region(all_parts, noise, {})
+        begin, end = _region(all_parts, noise, gains, {})
     return " ".join("".join(
         (" " if all_parts[i].breaks or noise[i] else all_parts[i].text) for i in range(begin, end)).split())
 

@@ -72,15 +72,16 @@ def test_names_are_evidence(spark, corpus, page, text):
 
 def test_names_learned_from_labelled_pages():
     """A name that is in no list is noise where labelled pages hold it outside the mark only."""
-    page = ("<div class='kasten'><p>{0} x</p></div><article><h1>t</h1><p class='vorspann'>{0}</p></article>").format(words_of(12))
+    page = ("<div class='kasten'><p>{0} x</p></div><article><h1>t</h1><p class='vorspann'>{0}</p>"
+            "<p>{0}</p><p>{0}</p><p>{0}</p></article>").format(words_of(12))
     found = Counter()
     for _ in range(40):
         found.update(html_extract.counts(page))
     weights = html_extract.fitted([(f, found[f, True], found[f, False]) for f in {k[0] for k in found}])
     assert weights["name:kasten"] < -2 and weights["name:vorspann"] > 2
-    other = f"<div><p>one two</p><div class='kasten'><p>{words_of(5)}</p></div><p class='vorspann'>three</p></div>"
-    assert html_extract.main_text(other, weights) == "one two three"
-    assert html_extract.main_text(other, {}) == f"one two {words_of(5)} three"
+    other = f"<div><p>one two three four</p><div class='kasten'><p>{words_of(5)}</p></div><p class='vorspann'>five six seven</p></div>"
+    assert html_extract.main_text(other, weights) == "one two three four five six seven"
+    assert html_extract.main_text(other, {}) == f"one two three four {words_of(5)} five six seven"
 
 
 def without_marks(page):
