@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from supplierlens.functions.dates import days_floor
 from supplierlens.functions.numeric import flag, lead_time_days, part_key
 from supplierlens.functions.text import upper_key
+from supplierlens.operators.skew import HEAVY_ROWS, looked_up
+
+#: Columns that tell order lines apart.
+LINE_KEY = ["po_number", "line_no", "order_date", "last_receipt_date"]
 
 
 def _keyed(items: DataFrame) -> DataFrame:
@@ -41,10 +45,13 @@ def lead_time_conflicts(items: DataFrame) -> DataFrame:
     )
 
 
-def with_lead_time(po: DataFrame, items: DataFrame) -> DataFrame:
-    """Adds the benchmark and the adherence measures; the row count never changes."""
+def with_lead_time(po: DataFrame, items: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Adds the benchmark and the adherence measures; the row count never changes.
+
+    Lines of a part with over ``heavy_rows`` lines, and lines without a part, are dealt out.
+    """
     po = po.withColumn("part_number_match_key", part_key(po))
-    po = po.join(lead_time_reference(items), "part_number_match_key", "left")
+    po = looked_up(po, lead_time_reference(items), ["part_number_match_key"], LINE_KEY, heavy_rows)
     bench = F.col("item_lead_time_days")
     actual = F.col("actual_lead_time_days")
     po = po.withColumn("actual_lead_time_days",

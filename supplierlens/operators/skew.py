@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of one key that one task is given; a key with more is dealt out over several.
 HEAVY_ROWS = 500_000
+#: Salts of rows with a null key.
+NULL_SALTS = 1 << 16
 
 
 def heavy_keys(counts: DataFrame, keys: list[str], count: str, rows: int = HEAVY_ROWS) -> DataFrame:
@@ -24,11 +29,27 @@ def salted_join(many: DataFrame, few: DataFrame, keys: list[str], heavy: DataFra
 
     Rows of ``many`` take a salt by the hash of ``deal_by``; rows of ``few`` are repeated once
     per salt. Other keys have one salt, so they are joined as ever. No row meets a row of
-    ``few`` twice. A null key meets nothing.
+    ``few`` twice. A null key meets nothing; its rows are dealt out too, since a shuffle would
+    bring all of them into one task.
     """
     spread = F.broadcast(heavy)
+    salts = F.coalesce("_salts", F.when(reduce(or_, [F.col(k).isNull() for k in keys]), NULL_SALTS), F.lit(1))
     left = many.join(spread, keys, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(deal_by), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+        "_salt", F.when(salts > 1, F.pmod(F.xxhash64(deal_by), salts)).otherwise(0).cast("int")).drop("_salts")
     right = few.join(spread, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def looked_up(many: DataFrame, few: DataFrame, keys: list[str], deal_by: list[str],
+              rows: int = HEAVY_ROWS) -> DataFrame:
+    """``many`` left-joined to ``few``, which has one row per key; heavy keys are measured first.
+
+    Counting the keys reads only the columns that they are made of, and combines before its
+    shuffle, so a key that a third of the rows share costs one count per task. Rows are dealt
+    by those of ``deal_by`` that they have; these should tell rows apart.
+    """
+    counted = many.where(reduce(and_, [F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    own = [c for c in deal_by if c in many.columns]
+    return salted_join(many, few, keys, heavy_keys(counted, keys, "_rows", rows), F.xxhash64(*own), "left")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from supplierlens.functions.numeric import pct
 from supplierlens.operators.identity import VENDOR_KEY
 from supplierlens.operators.pricing import price_columns, with_price_history
+from supplierlens.operators.skew import HEAVY_ROWS, looked_up
 
 NCR_COUNTS = ["supplier_linked_ncr_count", "quality_eligible_ncr_count",
               "ncr_quantity_anomaly_count", "responsiveness_eligible_ncr_count",
@@ -115,10 +116,14 @@ def name_locations(keys: DataFrame) -> DataFrame:
         F.count_distinct("vendor_match_city").alias("po_location_count"))
 
 
-def with_match_status(ncrs: DataFrame, keys: DataFrame) -> DataFrame:
-    """MATCHED, UNMATCHED or MISSING LOCATION for every supplier-linked NCR."""
+def with_match_status(ncrs: DataFrame, keys: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """MATCHED, UNMATCHED or MISSING LOCATION for every supplier-linked NCR.
+
+    NCRs of a vendor with over ``heavy_rows`` of them, and those without a city, are dealt out.
+    """
     known = keys.withColumn("_known", F.lit(True))
-    return ncrs.where("supplier_linked").join(known, VENDOR_KEY, "left").withColumn(
+    linked = ncrs.where("supplier_linked")
+    return looked_up(linked, known, VENDOR_KEY, ["ncr_number"], heavy_rows).withColumn(
         "match_status",
         F.when(F.col("vendor_match_city").isNull(), "MISSING LOCATION")
         .when(F.col("_known"), "MATCHED").otherwise("UNMATCHED"),
@@ -130,8 +135,8 @@ def unmatched_ncrs(ncrs: DataFrame, po: DataFrame) -> DataFrame:
     pairs = po.select(*VENDOR_KEY).distinct()
     status = with_match_status(ncrs, pairs.where(
         F.col("vendor_match_name").isNotNull() & F.col("vendor_match_city").isNotNull()))
-    return status.where("match_status <> 'MATCHED'").join(
-        name_locations(pairs), "vendor_match_name", "left")
+    return looked_up(status.where("match_status <> 'MATCHED'"), name_locations(pairs), ["vendor_match_name"],
+                     ["ncr_number"])
 
 
 def match_totals(orders: DataFrame, ncrs: DataFrame) -> DataFrame:

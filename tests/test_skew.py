@@ -70,3 +70,50 @@ def test_a_third_of_vendors_in_one_city(spark):
     want = sum(1 for i, a, x, c, *_ in rows if x is None for j, b, y, d, *_ in rows
                if y is not None and c == d and 100 * difflib.SequenceMatcher(None, a, b).ratio() >= 95)
     assert salted.count() == want
+
+
+def rows_of_largest_task(spark, df):
+    """Rows of the largest of 64 tasks after a join by shuffle, without adaptive execution."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        return df.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_task_sizes_of_a_heavy_part(spark):
+    """A third of the lines has one part, a third none: no task gets much more than its share."""
+    n = F.col("id")
+    po = spark.range(30_000).select(
+        n.cast("string").alias("po_number"),
+        F.when(n % 3 == 0, "P-HOT").when(n % 3 == 1, F.concat(F.lit("P-"), n % 997)).alias("part_number"),
+        F.lit("2026-01-01").cast("timestamp_ntz").alias("order_date"),
+        F.lit("2026-01-05").cast("timestamp_ntz").alias("last_receipt_date"), F.lit(True).alias("fully_received"))
+    items = spark.createDataFrame([("P-HOT", 5.0), *[(f"P-{i}", float(i)) for i in range(997)]],
+                                  "part_number string, lead_time double")
+    dealt = lead_time.with_lead_time(po, items, heavy_rows=100)
+    assert rows_of_largest_task(spark, dealt) < 1500
+    assert rows_of_largest_task(spark, lead_time.with_lead_time(po, items)) >= 10_000
+    plain = po.join(lead_time.lead_time_reference(items), F.col("part_number") == F.col("part_number_match_key"), "left")
+    columns = ["po_number", "item_lead_time_days"]
+    assert sorted(map(tuple, dealt.select(*columns).collect()), key=str) == sorted(
+        map(tuple, plain.select(*columns).collect()), key=str)
+
+
+def test_task_sizes_of_a_heavy_vendor(spark):
+    n = F.col("id")
+    ncrs = spark.range(30_000).select(
+        n.alias("ncr_number"), F.lit(True).alias("supplier_linked"),
+        F.when(n % 3 == 0, "HOT").otherwise(F.concat(F.lit("V"), n % 997)).alias("vendor_match_name"),
+        F.when(n % 3 < 2, "X").alias("vendor_match_city"))
+    keys = spark.createDataFrame([("HOT", "X"), ("V1", "X")], "vendor_match_name string, vendor_match_city string")
+    dealt = vendor_summary.with_match_status(ncrs, keys, heavy_rows=100)
+    assert rows_of_largest_task(spark, dealt) < 1500
+    status = {r["match_status"]: r["count"] for r in dealt.groupBy("match_status").count().collect()}
+    matched = sum(1 for i in range(30_000) if i % 3 == 0 or i % 3 == 1 and i % 997 == 1)
+    assert status == {"MATCHED": matched, "MISSING LOCATION": 10_000, "UNMATCHED": 20_000 - matched}
