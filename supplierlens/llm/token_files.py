@@ -64,6 +64,17 @@ class EliasFano:
             low |= (self.low[k >> 3] >> (k & 7) & 1) << j
         return ((place - i) << self.low_bits) | low
 
+    def find(self, value: int) -> int:
+        """Place of the first number of at least ``value``, by halving; n if there is none."""
+        low, high = 0, self.n
+        while low < high:
+            middle = (low + high) // 2
+            if self[middle] < value:
+                low = middle + 1
+            else:
+                high = middle
+        return low
+
     def all(self) -> np.ndarray:
         if not self.n:
             return np.zeros(0, np.int64)
@@ -78,7 +89,7 @@ class EliasFano:
 
 _CODED = ("n int", "low_bits int", "low binary", "high binary", "select binary")
 _FANO = "struct<" + ", ".join(x.replace(" ", ": ") for x in _CODED) + ">"
-FILE_SCHEMA = (f"shard int, block int, n_ids long, without_id int, first_id long, ids binary, "
+FILE_SCHEMA = (f"shard int, block int, n_ids long, without_id int, first_id long, last_id long, ids binary, "
                f"ends {_FANO}, doc_ids {_FANO}")
 
 
@@ -97,13 +108,14 @@ def write_token_files(docs: DataFrame, folder: str, path: str, id_col: str = "do
     written; an empty table gives no blocks.
 
     Texts are dealt out by ranges of ids and encoded after that, so ids are made once and
-    never shuffled. Each task writes one shard: blocks of about ``block_ids`` ids, whole
+    never shuffled. Rows under one id, or without one, are dealt out by a hash of their text.
+    Each task writes one shard: blocks of about ``block_ids`` ids, whole
     documents each, as 16-bit little-endian numbers, with Elias-Fano codes for where the
     documents end in the block and for their ids less the first one. The files are Parquet,
     whose committer leaves out what a lost task wrote.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    dealt = base.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    dealt = base.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(path).encode
@@ -117,11 +129,13 @@ def write_token_files(docs: DataFrame, folder: str, path: str, id_col: str = "do
             first = int(named[0]) if len(named) else 0
             ends = EliasFano.of(np.cumsum([len(x) >> 1 for x in ids]))
             row = {"shard": shard, "block": block, "n_ids": size, "without_id": len(keys) - len(named),
-                   "first_id": first, "ids": b"".join(ids), "ends": vars(ends),
+                   "first_id": first, "last_id": int(named[-1]) if len(named) else None,
+                   "ids": b"".join(ids), "ends": vars(ends),
                    "doc_ids": vars(EliasFano.of(named.view(np.uint64) - np.uint64(first % (1 << 64))))}
             return pa.RecordBatch.from_pylist([row], pa.schema([
                 ("shard", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()), ("without_id", pa.int32()),
-                ("first_id", pa.int64()), ("ids", pa.binary()), ("ends", _fano_type()), ("doc_ids", _fano_type())]))
+                ("first_id", pa.int64()), ("last_id", pa.int64()), ("ids", pa.binary()), ("ends", _fano_type()),
+                ("doc_ids", _fano_type())]))
 
         for batch in batches:
             own = batch.column(0).to_pylist()
@@ -139,6 +153,18 @@ def write_token_files(docs: DataFrame, folder: str, path: str, id_col: str = "do
     dealt.mapInArrow(run, FILE_SCHEMA).write.parquet(folder)
 
 
+def _block_starts(files: DataFrame) -> DataFrame:
+    """(of_shard, of_block, block_start): ids before each block."""
+    sizes = files.select("shard", "block", "n_ids")
+    shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("shard_ids"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shards = shards.select("shard", F.coalesce(F.sum("shard_ids").over(before), F.lit(0)).alias("shard_start"))
+    return (sizes.join(shards, "shard")
+            .select(F.col("shard").alias("of_shard"), F.col("block").alias("of_block"),
+                    (F.col("shard_start") + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).alias("block_start")))
+
+
 def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """One row per document: doc_id, start (ids of all documents before it), n_tokens,
     ids_crc32 (of its ids as 32-bit little-endian numbers), and with ``with_ids`` its ids.
@@ -147,14 +173,7 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
     row per block of a shard, then over one row per shard.
     """
     files = spark.read.schema(FILE_SCHEMA).parquet(folder)
-    sizes = files.select("shard", "block", "n_ids")
-    shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("shard_ids"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    shards = shards.select("shard", F.coalesce(F.sum("shard_ids").over(before), F.lit(0)).alias("shard_start"))
-    starts = (sizes.join(shards, "shard")
-              .select(F.col("shard").alias("of_shard"), F.col("block").alias("of_block"),
-                      (F.col("shard_start") + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).alias("block_start")))
+    starts = _block_starts(files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,3 +199,61 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
                             + (", ids binary" if with_ids else ""))
     return (docs.join(starts, (F.col("shard") == F.col("of_shard")) & (F.col("block") == F.col("of_block")))
             .select("doc_id", (F.col("block_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", *extra))
+
+
+def look_up(spark: SparkSession, folder: str, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The documents of ``wanted`` alone: doc_id, start, n_tokens, ids_crc32, ids.
+
+    A document that is wanted twice is returned once, one whose id has several rows with each
+    of them; null and unknown ids return nothing. Wanted ids are dealt to the shards that may
+    hold them (the driver knows two numbers per shard, and there are no more shards than tasks
+    that wrote), then joined to blocks by their ranges of ids. In a block the place of an
+    id and the ends of its documents are read through the select structures, so nothing of
+    the block is decoded but the documents asked for.
+    """
+    files = spark.read.schema(FILE_SCHEMA).parquet(folder)
+    named = files.where("last_id IS NOT NULL").select("shard", "block", "first_id", "last_id")
+    bounds = sorted(tuple(r) for r in named.groupBy("shard").agg(F.min("first_id"), F.max("last_id")).collect())
+    shards, firsts, lasts = (np.array(x, np.int64) for x in (zip(*bounds, strict=True) if bounds else ([], [], [])))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            # Shards are in order of their ids: those from the first that ends at or after an id
+            # to the last that begins at or before it.
+            low, high = np.searchsorted(lasts, ids, "left"), np.searchsorted(firsts, ids, "right")
+            times = np.maximum(high - low, 0)
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, times), pa.int64()),
+                                              pa.array(shards[np.repeat(low, times) + nth], pa.int32())], ["wanted", "shard"])
+
+    asked = wanted.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    by_block = (asked.mapInArrow(deal, "wanted long, shard int").join(named, "shard")
+                .where("wanted BETWEEN first_id AND last_id")
+                .groupBy(F.col("shard").alias("in_shard"), F.col("block").alias("in_block"))
+                .agg(F.collect_list("wanted").alias("wanted")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (r for i in range(len(batch)) for r in batch.slice(i, 1).to_pylist()):
+                ends, doc_ids = EliasFano(**row["ends"]), EliasFano(**row["doc_ids"])
+                ids = np.frombuffer(row["ids"], "<u2")
+                out = []
+                for key in sorted(row["wanted"]):
+                    i = doc_ids.find(key - row["first_id"])
+                    while i < doc_ids.n and doc_ids[i] == key - row["first_id"]:
+                        k = i + row["without_id"]
+                        begin, end = ends[k - 1] if k else 0, ends[k]
+                        own = ids[begin:end]
+                        out.append((key, row["block_start"] + begin, end - begin,
+                                    zlib.crc32(own.astype("<u4").tobytes()), own.tobytes()))
+                        i += 1
+                yield pa.RecordBatch.from_pylist(
+                    [dict(zip(("doc_id", "start", "n_tokens", "ids_crc32", "ids"), x, strict=True)) for x in out],
+                    pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
+                               ("ids_crc32", pa.int64()), ("ids", pa.binary())]))
+
+    held = (files.join(by_block, (F.col("shard") == F.col("in_shard")) & (F.col("block") == F.col("in_block")))
+            .join(_block_starts(files), (F.col("shard") == F.col("of_shard")) & (F.col("block") == F.col("of_block")))
+            .select("first_id", "without_id", "ids", "ends", "doc_ids", "wanted", "block_start"))
+    return held.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")

@@ -10,6 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from supplierlens.llm import bpe, packing, token_counts, token_files, tokens
 from supplierlens.llm.common import documents
 from supplierlens.session import work_folder
@@ -108,10 +110,28 @@ def test_token_files(spark, docs, library):
     assert named == sorted(named, key=lambda x: (x is not None, x or 0))
 
 
+def test_look_up(spark, library):
+    """Single documents by select: negative, repeated, unknown and null ids, small blocks."""
+    rows = [(i % 150 - 40 if i % 7 else None, f"text {i} " + "more words " * (i % 23)) for i in range(600)]
+    rows += [(77, f"one id {i} " * (i % 5)) for i in range(300)] + [(-2**63, "low"), (2**63 - 1, "high")]
+    folder = work_folder(spark, "files")
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), folder, WORD,
+                                  block_ids=200)
+    every = token_files.read_token_files(spark, folder, with_ids=True)
+    assert [r[0] for r in every.orderBy("start").collect()] == sorted(
+        (r[0] for r in rows), key=lambda x: (x is not None, x or 0))
+    asked = [5, 5, -40, 77, 10_000, None, -2**63, 2**63 - 1]
+    got = token_files.look_up(spark, folder, spark.createDataFrame([(x, 1) for x in asked], "doc_id long, ids int"))
+    want = every.where(F.col("doc_id").isin([x for x in asked if x is not None])).select(got.columns)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    assert got.where("doc_id = 77").count() == sum(r[0] == 77 for r in rows) > 300
+
+
 def test_token_files_of_nothing(spark, empty):
     folder = work_folder(spark, "files")
     token_files.write_token_files(empty, folder, WORD)
     assert token_files.read_token_files(spark, folder).collect() == []
+    assert token_files.look_up(spark, folder, spark.range(3).select(F.col("id").alias("doc_id"))).collect() == []
 
 
 @settings(max_examples=80, deadline=None)
