@@ -7,6 +7,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterable
+from itertools import pairwise
 
 import numpy as np
 
@@ -53,25 +54,64 @@ BYTE_LETTERS = dict(enumerate(byte_letters()))
 _PLAIN_UNIT = re.compile(" ?[!-~À-ÖØ-öø-ɏ]+").fullmatch
 
 
+def _ids_are_ranks(model: dict) -> bool:
+    """Whether the ids are in the order of the merges."""
+    merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    return all(a < b for a, b in pairwise(merged))
+
+
 def ranked(file: dict):  # noqa: ANN201
     """The same byte-level vocabulary as an encoder by ranks, which is several times as fast;
-    none where the ids are not in the order of the merges and so are no ranks."""
+    none where the ids are no ranks."""
     import tiktoken
 
-    vocab, last = file["model"]["vocab"], -1
-    for merge in file["model"]["merges"]:
-        token = vocab["".join(merge.split(" ") if isinstance(merge, str) else merge)]
-        if token <= last:
-            return None
-        last = token
+    if not _ids_are_ranks(file["model"]):
+        return None
     added = {x["content"] for x in file["added_tokens"]}
     byte_of = {c: b for b, c in BYTE_LETTERS.items()}
-    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in added}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in file["model"]["vocab"].items() if t not in added}
     # Fixed value: the pattern of this kind of vocabulary.
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     return tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+# A word whose letters have one small form each, which in UTF-8 is 32 above the capital's last
+# byte for the last letter of the word; a full stop or comma after it is a word of its own.
+_SMALL_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-þ]*[A-Za-zÀ-ÖØ-Þà-öø-þ][.,]?").fullmatch
+
+
+def ranked_words(file: dict):  # noqa: ANN201
+    """A vocabulary of small letters that marks the ends of words as an encoder by ranks.
+
+    A word's last letter is a capital in place of the mark, so words need nothing between them.
+    Gives the encoder and for each id whether it ends a word; none where the ids are no ranks.
+    """
+    import tiktoken
+
+    end = file["model"].get("end_of_word_suffix")
+    if not end or not _ids_are_ranks(file["model"]):
+        return None
+    byte_of = {c: b for b, c in BYTE_LETTERS.items()}
+    added = {x["content"] for x in file["added_tokens"]}
+    inner = {*b"abcdefghijklmnopqrstuvwxyz", 0xC3, 0x9F, *range(0xA0, 0xBF)} - {0xB7}
+    ranks, ends = {}, np.zeros(1 << 16, bool)
+    for token, i in file["model"]["vocab"].items():
+        if token in added:
+            continue
+        marked = token.endswith(end)
+        own = bytes(byte_of[c] for c in token.removesuffix(end))
+        if marked and own in (b".", b","):
+            ranks[own], ends[i] = i, True
+            continue
+        if not inner.issuperset(own) or marked and own[-1] in (0xC3, 0x9F):
+            continue
+        ranks[own[:-1] + bytes([own[-1] - 32]) if marked else own] = i
+        ends[i] = marked
+    if {b".", b","} - ranks.keys():
+        return None
+    return tiktoken.Encoding("words", pat_str="[a-zß-öø-þ]*[A-ZÀ-ÖØ-Þ]|[.,]", mergeable_ranks=ranks, special_tokens={}), ends
+
+
 def split_dropping(text: str) -> list[str]:
     """Units for a tokenizer that drops blanks: no word of its pattern spans one."""
     return text.replace("\n", " ").split(" ")
@@ -117,11 +157,13 @@ class Encoder:
         # Special tokens are the library's: units that may hold one are not encoded by ranks.
         marked = all("<|" in x["content"] for x in file["added_tokens"])
         self._ranked = ranked(file) if self.keeps_blanks and marked else None
+        self._ranked_words = None if self.keeps_blanks else ranked_words(file)
         if self._ranked is not None:
             self._feed = self._ranked.encode_ordinary("\n")[0]
         self._border, self._border_id = file["added_tokens"][-1]["content"], file["added_tokens"][-1]["id"]
         self._words = UnitCache(self._bulk)
-        self._units = UnitCache(self._stems)
+        # One table in place of two where most units are encoded by ranks.
+        self._units = UnitCache(self._stems) if self._ranked_words is None else UnitCache(self._plain_units, 2 * CACHE_UNITS)
 
     def _ask(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u2") for x in self._library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -134,6 +176,28 @@ class Encoder:
         whole = ids.tobytes()
         return [whole[a:b] for a, b in zip([0, *[c + 2 for c in cuts]], [*cuts, len(whole)], strict=True)]
 
+    def _words_by_ranks(self, units: list[str]) -> list[bytes]:
+        """Units of a word and perhaps a full stop or comma."""
+        encoding, ends = self._ranked_words
+        points = [x[-1] in ".," for x in units]
+        text = "".join([x[:-2].lower() + x[-2].upper() + x[-1] if p else x[:-1].lower() + x[-1].upper()
+                        for x, p in zip(units, points, strict=True)])
+        ids = np.array(encoding.encode_ordinary(text), "<u2")
+        words = np.flatnonzero(ends[ids])
+        cuts = (2 * words[np.cumsum(np.array(points, np.int64) + 1) - 1] + 2).tolist()
+        whole = ids.tobytes()
+        return [whole[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+    def _plain_units(self, units: list[str]) -> list[bytes]:
+        """Units of a tokenizer that drops blanks: most by ranks, none of these kept as words too."""
+        odd = [x for x in units if not _SMALL_WORD(x)]
+        made = dict(zip(odd, self._stems(odd), strict=True))
+        plain = [x for x in units if x not in made]
+        for at in range(0, len(plain), 2000):
+            block = plain[at:at + 2000]
+            made.update(zip(block, self._words_by_ranks(block), strict=True))
+        return [made[x] for x in units]
+
     def _word(self, word: str) -> bytes:
         """Ids of one word of letters: the library's model without its pattern."""
         if self.keeps_blanks:

@@ -110,6 +110,18 @@ def test_token_files(spark, docs, library):
     assert named == sorted(named, key=lambda x: (x is not None, x or 0))
 
 
+def test_words_by_ranks(library):
+    """Words of accented letters, capitals and a point after them, tokens of the vocabulary among them."""
+    rnd = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzaeinrstàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþßÀÉÖÞZ"
+    words = [t.removesuffix("</w>") for t in list(library[WORD].get_vocab())[::5]]
+    words += ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 12))) for _ in range(5000)]
+    words = [w + rnd.choice(["", ".", ",", "..", ".,", "ß"]) for w in words if " " not in w]
+    got = tokens.Encoder(WORD).encode([" ".join(words), *words])
+    want = ids_of(library, WORD, [" ".join(words), *words])
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == want
+
+
 def test_look_up(spark, library):
     """Single documents by select: negative, repeated, unknown and null ids, small blocks."""
     rows = [(i % 150 - 40 if i % 7 else None, f"text {i} " + "more words " * (i % 23)) for i in range(600)]
