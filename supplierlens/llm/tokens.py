@@ -238,10 +238,11 @@ class Encoder:
     def _stems(self, units: list[str]) -> list[bytes]:
         """Units by their words: a full stop or comma after a letter or digit is a word of its own.
 
+        But not after İ, whose small form ends with a mark that is no letter.
         A unit stands for a blank and its characters where the tokenizer keeps blanks.
         """
         blank = " " if self.keeps_blanks else ""
-        split = [[blank + x[:-1], x[-1]] if x[-1:] in (".", ",") and x[-2:-1].isalnum() else [blank + x]
+        split = [[blank + x[:-1], x[-1]] if x[-1:] in (".", ",") and x[-2:-1].isalnum() and x[-2] != "İ" else [blank + x]
                  for x in units]
         known = self._words.over(split)
         return [b"".join([known[w] for w in x]) for x in split]
