@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,13 +47,16 @@ def lead_time_conflicts(items: DataFrame) -> DataFrame:
     )
 
 
-def with_lead_time(po: DataFrame, items: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def with_lead_time(po: DataFrame, items: DataFrame, heavy_rows: int = HEAVY_ROWS,
+                   deal_by: Sequence[str] = LINE_KEY, keep_salt: bool = False) -> DataFrame:
     """Adds the benchmark and the adherence measures; the row count never changes.
 
-    Lines of a part with over ``heavy_rows`` lines, and lines without a part, are dealt out.
+    Lines of a part with over ``heavy_rows`` lines, and lines without a part, are dealt out
+    by ``deal_by``; with ``keep_salt`` the column ``_salt`` says how.
     """
     po = po.withColumn("part_number_match_key", part_key(po))
-    po = looked_up(po, lead_time_reference(items), ["part_number_match_key"], LINE_KEY, heavy_rows)
+    po = looked_up(po, lead_time_reference(items), ["part_number_match_key"], list(deal_by),
+                   heavy_rows, keep_salt)
     bench = F.col("item_lead_time_days")
     actual = F.col("actual_lead_time_days")
     po = po.withColumn("actual_lead_time_days",

@@ -75,38 +75,56 @@ def _part(cuts: Column, at: Column) -> Column:
     return F.when(cuts.isNull(), 0).otherwise(found)
 
 
-def with_previous_price(store: DataFrame, extra_keys: tuple[str, ...] = (), part_rows: int = PART_ROWS) -> DataFrame:
-    """``previous_unit_price``: price of the row before in its group, NULL price included.
-
-    ``store`` should be a written table of no more columns than are wanted: it is read up to
-    three times, but shuffled only once, for the window. ``extra_keys`` part the groups
-    further (two sources in one pass, say).
+def with_parts(store: DataFrame, extra_keys: tuple[str, ...] = (),
+               part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
+    """``store`` with the ``_part`` of its group that a row is in, and the prices carried on
+    from the ends of parts.
 
     A group of over ``part_rows`` rows is cut into consecutive parts at orders taken from a
-    sample (``_cuts``), and the window runs per part. A part's first row takes the price from
-    the end of the part before. There are at most as many cuts, and ends of parts, as rows
-    divided by ``part_rows``; that bound, not a size seen, is why both may be broadcast.
+    sample (``_cuts``). There are at most as many cuts, and ends of parts, as rows divided by
+    ``part_rows``; that bound, not a size seen, is why both may be broadcast.
     """
     keys = [*PRICE_GROUP, *extra_keys]
-    cuts = written(_cuts(store, keys, part_rows), "price-cuts")
+    cuts = F.broadcast(written(_cuts(store, keys, part_rows), "price-cuts"))
     at, price = _order_struct(store), F.col("unit_price")
     grouped = store.withColumn("_group", F.xxhash64(*keys))
-    parted = grouped.join(F.broadcast(cuts), "_group", "left").withColumn("_part", _part(F.col("_cuts"), at)).drop("_cuts")
+    parted = grouped.join(cuts, "_group", "left").withColumn("_part", _part(F.col("_cuts"), at)).drop("_cuts", "_group")
 
-    large = grouped.join(F.broadcast(cuts), "_group").withColumn("_part", _part(F.col("_cuts"), at))
+    large = grouped.join(cuts, "_group").withColumn("_part", _part(F.col("_cuts"), at))
     ends = large.groupBy("_group", *keys, "_part").agg(F.max_by(price, at).alias("_end"))
     before = Window.partitionBy("_group", *keys).orderBy("_part")
     carried = ends.select(F.col("_group").alias("_of"), F.col("_part").alias("_at"), *[F.col(c).alias(f"_{c}") for c in keys],
                           F.lag("_end", 1).over(before).alias("_carried")).where("_carried IS NOT NULL")
+    return parted, carried
+
+
+def previous_prices(parted: DataFrame, carried: DataFrame, extra_keys: tuple[str, ...] = (),
+                    within: tuple[str, ...] = ()) -> DataFrame:
+    """``previous_unit_price`` from what ``with_parts`` gives, to which columns may have been
+    added: the window runs per part, whose first row takes the price from the part before.
 
-    w = Window.partitionBy("_group", *keys, "_part").orderBy(*_order_columns(store))
+    Columns ``within`` have one value per part. Where rows are spread by these already, say by
+    a join, the window needs no shuffle.
+    """
+    keys, price = [*PRICE_GROUP, *extra_keys], F.col("unit_price")
+    w = Window.partitionBy(*within, *keys, "_part").orderBy(*_order_columns(parted))
     lagged = parted.withColumns({"_lag": F.lag(price, 1).over(w), "_nr": F.row_number().over(w)})
-    first = (F.when(F.col("_nr") == 1, F.col("_part")) == F.col("_at")) & (F.col("_group") == F.col("_of"))
+    first = (F.when(F.col("_nr") == 1, F.col("_part")) == F.col("_at")) & (F.xxhash64(*keys) == F.col("_of"))
     for c in keys:  # hashes may be shared, keys may be null
         first = first & F.col(c).eqNullSafe(F.col(f"_{c}"))
     out = lagged.join(F.broadcast(carried), first, "left")
     previous = F.when(F.col("_nr") > 1, F.col("_lag")).otherwise(F.col("_carried"))
-    return out.select(*store.columns, previous.alias("previous_unit_price"))
+    return out.select(*[c for c in parted.columns if c != "_part"], previous.alias("previous_unit_price"))
+
+
+def with_previous_price(store: DataFrame, extra_keys: tuple[str, ...] = (), part_rows: int = PART_ROWS) -> DataFrame:
+    """``previous_unit_price``: price of the row before in its group, NULL price included.
+
+    ``store`` should be a written table of no more columns than are wanted: it is read up to
+    three times, but shuffled only once, for the window. ``extra_keys`` part the groups
+    further (two sources in one pass, say).
+    """
+    return previous_prices(*with_parts(store, extra_keys, part_rows), extra_keys)
 
 
 def price_columns(po: DataFrame, more: Sequence[str] = ()) -> list[str]:
@@ -119,12 +137,15 @@ def price_store(po: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Lines with price keys, the order and ``carried`` columns alone, written once: the plan
     that makes the lines runs for this write and not again."""
     po = with_price_keys(po)
-    return written(po.select(*price_columns(po, carried)), "price-store")
+    return written(po.select(*price_columns(po, carried)), "price-store", "zstd")
 
 
 def with_price_history(store: DataFrame, extra_keys: tuple[str, ...] = (), part_rows: int = PART_ROWS) -> DataFrame:
     """Price measures onto the rows of a store."""
-    po = with_previous_price(store, extra_keys, part_rows)
+    return price_measures(with_previous_price(store, extra_keys, part_rows))
+
+
+def price_measures(po: DataFrame) -> DataFrame:
     price, before = F.col("unit_price"), F.col("previous_unit_price")
     po = po.withColumn("price_comparison_eligible", flag(F.col("commercial_base_eligible") & (before > 0)))
     eligible = F.col("price_comparison_eligible")

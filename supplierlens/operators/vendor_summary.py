@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 
 from supplierlens.functions.numeric import pct
 from supplierlens.operators.identity import VENDOR_KEY
-from supplierlens.operators.pricing import price_columns, with_price_history
+from supplierlens.operators.lead_time import with_lead_time
+from supplierlens.operators.pricing import (
+    PART_ROWS,
+    PRICE_GROUP,
+    previous_prices,
+    price_columns,
+    price_measures,
+    with_parts,
+)
 from supplierlens.operators.skew import HEAVY_ROWS, looked_up
 
 NCR_COUNTS = ["supplier_linked_ncr_count", "quality_eligible_ncr_count",
@@ -21,60 +29,70 @@ NCR_SUMS = ["total_rejected_qty", "total_ncr_quantity", "quality_rejected_qty"]
 
 
 #: Line columns that the measures of an order summary are made from, price aside.
-MEASURED = ["po_number", "ordered_qty", "received_qty", "fully_received", "delivery_eligible", "on_time", "late",
-            "late_days_only", "lead_time_eligible", "lead_time_adherent", "eligible_actual_lead_time_days",
-            "lead_time_variance_days"]
+MEASURED = ["po_number", "part_number", "ordered_qty", "received_qty", "fully_received", "delivery_eligible", "on_time",
+            "late", "late_days_only", "last_receipt_date"]
 
 
-def summarize_orders(store: DataFrame, extra_keys: tuple[str, ...] = (), totals: bool = False) -> DataFrame:
+#: Line columns that lead times are made from.
+TIMED = ["part_number", "fully_received", "last_receipt_date"]
+
+
+def summarize_orders(store: DataFrame, items: DataFrame, totals: bool = False, heavy_rows: int = HEAVY_ROWS,
+                     part_rows: int = PART_ROWS) -> DataFrame:
     """18 measures per vendor and city; a missing city is a group of its own.
 
-    ``store`` is a written price store with the MEASURED columns. Delivery and lead time are
-    summed up as they are read; only the few price columns are shuffled for the price history.
-    ``extra_keys`` part the vendors further. With ``totals`` a row per extra key with
-    ``is_total`` has the measures of all lines, made in the same passes as the vendors'.
+    ``store`` is a written price store with the MEASURED columns. Quantities and delivery are
+    summed up as they are read. Only what lead times and prices need is shuffled, once for
+    both: by part, a heavy one dealt out by its price groups, so that the window finds each
+    group in one place. Orders are counted on distinct pairs of vendor and order.
+    With ``totals`` a row with ``is_total`` has the measures of all lines, made in the same
+    passes as the vendors'.
     """
-    keys = [*VENDOR_KEY, *extra_keys]
-
     def zero_if_none(c: str):
         return F.coalesce(F.sum(c), F.lit(0.0))
 
     def grouped(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
         columns = [x.alias(c) for c, x in measures.items()]
         if not totals:
-            return df.groupBy(*keys).agg(*columns)
-        sets = df.groupingSets([[F.col(c) for c in keys], [F.col(c) for c in extra_keys]], *keys)
+            return df.groupBy(*VENDOR_KEY).agg(*columns)
+        sets = df.groupingSets([[F.col(c) for c in VENDOR_KEY], []], *VENDOR_KEY)
         return sets.agg((F.grouping(VENDOR_KEY[0]) == 1).alias("is_total"), *columns)
 
     of_lines = {
         "po_transaction_count": F.count(F.lit(1)),
         "total_ordered_qty": zero_if_none("ordered_qty"),
         "total_received_qty": zero_if_none("received_qty"),
-        "distinct_po_count": F.count_distinct("po_number"),
         "received_transaction_count": F.count_if(F.col("received_qty") > 0),
         "fully_received_count": F.count_if("fully_received"),
         "delivery_eligible_count": F.count_if("delivery_eligible"),
         "on_time_count": F.count_if("on_time"),
         "late_count": F.count_if("late"),
         "average_days_late": F.avg("late_days_only"),
+    }
+    of_times_and_prices = {
         "lead_time_eligible_count": F.count_if("lead_time_eligible"),
         "lead_time_adherent_count": F.count_if("lead_time_adherent"),
         "average_actual_lead_time_days": F.avg("eligible_actual_lead_time_days"),
         "average_lead_time_variance_days": F.avg("lead_time_variance_days"),
-    }
-    of_prices = {
         "price_comparison_count": F.count_if("price_comparison_eligible"),
         "price_stable_count": F.count_if("price_stable"),
         "price_increase_count": F.count_if("price_increased"),
         "average_price_change_pct": F.avg("price_change_pct"),
     }
-    priced = with_price_history(store.select(*price_columns(store, extra_keys)), extra_keys)
-    lines, prices = grouped(store, of_lines), grouped(priced, of_prices)
-    # Both sides have every vendor, also those without a city, in one row each.
-    both = lines.unionByName(prices, allowMissingColumns=True)
+    parted, carried = with_parts(store.select(*price_columns(store, TIMED)), part_rows=part_rows)
+    timed = with_lead_time(parted, items, heavy_rows, [*PRICE_GROUP, "_part"], keep_salt=True)
+    priced = price_measures(previous_prices(timed, carried, within=("part_number_match_key", "_salt")))
+    pairs = store.select(*VENDOR_KEY, "po_number").distinct()
+    counted = pairs.groupBy(*VENDOR_KEY).agg(F.count("po_number").alias("distinct_po_count"))
     if totals:
-        keys = [*keys, "is_total"]
-    out = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in [*of_lines, *of_prices]])
+        counted = counted.withColumn("is_total", F.lit(False)).unionByName(
+            pairs.agg(F.count_distinct("po_number").alias("distinct_po_count"), F.lit(True).alias("is_total")),
+            allowMissingColumns=True)
+    # All have every vendor, also those without a city, in one row each.
+    lines, prices = grouped(store, of_lines), grouped(priced, of_times_and_prices)
+    both = lines.unionByName(prices, allowMissingColumns=True).unionByName(counted, allowMissingColumns=True)
+    ordered = [*list(of_lines)[:3], "distinct_po_count", *list(of_lines)[3:], *of_times_and_prices]
+    out = both.groupBy(*VENDOR_KEY, *(["is_total"] if totals else [])).agg(*[F.max(c).alias(c) for c in ordered])
     return out.withColumns({
         "on_time_delivery_pct": pct(F.col("on_time_count"), F.col("delivery_eligible_count")),
         "lead_time_adherence_pct": pct(F.col("lead_time_adherent_count"),

@@ -11,11 +11,10 @@ from pyspark.sql import types as T
 from supplierlens.functions.numeric import no_nan, text_to_double
 from supplierlens.functions.text import strip
 from supplierlens.operators.identity import VENDOR_KEY
-from supplierlens.operators.pricing import price_columns, with_price_keys
 from supplierlens.operators.scoring import score_vendors
-from supplierlens.operators.vendor_summary import MEASURED, join_ncrs, summarize_ncrs, summarize_orders
+from supplierlens.operators.vendor_summary import join_ncrs, summarize_ncrs, summarize_orders
 from supplierlens.plans.reports import long_form
-from supplierlens.plans.scorecard import Datasets, prepare_ncrs, prepare_orders
+from supplierlens.plans.scorecard import Datasets, order_store, prepare_ncrs
 from supplierlens.session import written
 from supplierlens.sources import extracts, ingest
 from supplierlens.sources import sampledata as sample
@@ -31,38 +30,43 @@ EVERYTHING = extracts.Scope(active_only=False, exclude_archived=False, issued_on
 
 
 def load_system(spark: SparkSession, folder: str, scope: extracts.Scope = EVERYTHING,
-                receipt_basis: str = "log", vendor_scope: str = "active_with_address") -> Datasets:
+                receipt_basis: str = "log", vendor_scope: str = "active_with_address",
+                tables: sample.SampleTables | None = None) -> Datasets:
     """The four datasets extracted from the purchasing system's own tables."""
-    t = sample.SampleTables(spark, folder)
-    companies = sample.companies(t)
-    po = extracts.po_extract(sample.order_lines(t), sample.receipts(t), companies,
-                             sample.display_names(t), sample.projects(t), scope, receipt_basis)
-    ncrs = extracts.ncr_extract(sample.ncrs_raw(t), sample.order_lines(t), companies,
-                                sample.display_names(t), scope)
+    t = tables or sample.SampleTables(spark, folder)
+    companies, bought = sample.companies(t), t.lineitem.select(F.col("l_suppkey").alias("company_id"))
+    # Lines and NCRs meet only companies that lines name. These are written, so that Spark knows
+    # how many they are and broadcasts them while they are few, in place of shuffling the lines.
+    named = bought.distinct()
+    sellers = written(companies.select("company_id", "company_name", "city", "supplier_record")
+                      .join(named, "company_id", "left_semi"), "line-companies", "zstd")
+    names = written(sample.display_names(t).join(named, "company_id", "left_semi"), "line-names", "zstd")
+    po = extracts.po_extract(sample.order_lines(t), sample.receipts(t), sellers, names, sample.projects(t), scope,
+                             receipt_basis)
+    ncrs = extracts.ncr_extract(sample.ncrs_raw(t), sample.order_lines(t), sellers, names, scope)
     items = ingest.clean_items(extracts.item_extract(sample.items_raw(t), sample.inventory(t)))
     items = items.withColumn("lead_time", extracts.lead_time_or_unset(F.col("lead_time")))
     vendors = extracts.vendor_extract(companies, sample.supplier_records(t),
-                                      t.lineitem.select(F.col("l_suppkey").alias("company_id")),
-                                      vendor_scope).withColumnRenamed("company_name", "vendor_name")
+                                      bought, vendor_scope).withColumnRenamed("company_name", "vendor_name")
     return Datasets(ingest.clean_purchase_orders(po), ingest.clean_ncrs(ncrs), items, vendors)
 
 
-def _tagged(sources: dict[str, Datasets], part: Callable[[Datasets], DataFrame]) -> DataFrame:
+def _tagged(sources: dict[str, Datasets], part: Callable[[str, Datasets], DataFrame]) -> DataFrame:
     """One part of every source, one below the other, with the name of the source."""
     out = None
     for name, data in sources.items():
-        one = part(data).withColumn("source", F.lit(name))
+        one = part(name, data).withColumn("source", F.lit(name))
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out
 
 
-def _order_store(sources: dict[str, Datasets]) -> DataFrame:
-    """The lines of all sources as one price store, so that one price pass serves them all."""
-    def narrow(data: Datasets) -> DataFrame:
-        po = with_price_keys(prepare_orders(data))
-        return po.select(*price_columns(po, MEASURED))
+def _summaries(sources: dict[str, Datasets], stores: dict[str, DataFrame]) -> DataFrame:
+    """The vendors of every source."""
+    return _tagged(sources, lambda name, data: summarize_orders(stores[name], data.items))
 
-    return written(_tagged(sources, narrow), "price-store")
+
+def _order_stores(sources: dict[str, Datasets]) -> dict[str, DataFrame]:
+    return {name: order_store(data) for name, data in sources.items()}
 
 
 def _per_source(*parts: DataFrame) -> DataFrame:
@@ -76,20 +80,21 @@ def _per_source(*parts: DataFrame) -> DataFrame:
 
 def stage_totals(sources: dict[str, Datasets]) -> DataFrame:
     """18 control totals of each source, one row each."""
-    store = _order_store(sources)
-    vendors = summarize_orders(store, ("source",))
+    stores = _order_stores(sources)
+    vendors = _summaries(sources, stores)
     sums = {"PO rows (valid)": "po_transaction_count", "Delivery eligible": "delivery_eligible_count",
             "On-time": "on_time_count", "Late": "late_count", "Lead-time eligible": "lead_time_eligible_count",
             "Price comparisons": "price_comparison_count", "Price stable": "price_stable_count"}
     return _per_source(
-        _tagged(sources, lambda d: d.items.agg(F.count(F.lit(1)).alias("Item Master rows"),
+        _tagged(sources, lambda _, d: d.items.agg(F.count(F.lit(1)).alias("Item Master rows"),
                                                F.count("lead_time").alias("Items with lead time"))),
-        _tagged(sources, lambda d: d.vendors.agg(F.count(F.lit(1)).alias("Vendor Master rows"))),
+        _tagged(sources, lambda _, d: d.vendors.agg(F.count(F.lit(1)).alias("Vendor Master rows"))),
         vendors.groupBy("source").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(m) for m, c in sums.items()],
                                       F.count(F.lit(1)).alias("Vendor+Location rows")),
-        store.groupBy("source").agg(F.count_if("commercial_base_eligible").alias("Commercial base-eligible"),
-                                    F.count_distinct("po_number").alias("Distinct POs")),
-        _tagged(sources, lambda d: prepare_ncrs(d).agg(
+        _tagged(sources, lambda name, _: stores[name].agg(
+            F.count_if("commercial_base_eligible").alias("Commercial base-eligible"),
+            F.count_distinct("po_number").alias("Distinct POs"))),
+        _tagged(sources, lambda _, d: prepare_ncrs(d).agg(
             F.count(F.lit(1)).alias("NCR rows"),
             F.count_if("supplier_linked").alias("Supplier-linked NCRs"),
             F.count_if("quality_eligible").alias("Quality-eligible NCRs"),
@@ -99,8 +104,8 @@ def stage_totals(sources: dict[str, Datasets]) -> DataFrame:
 
 def downstream_totals(sources: dict[str, Datasets], rules: dict) -> DataFrame:
     """Ten control totals of each source after the full pipeline."""
-    orders = summarize_orders(_order_store(sources), ("source",))
-    ncrs = _tagged(sources, prepare_ncrs)
+    orders = _summaries(sources, _order_stores(sources))
+    ncrs = _tagged(sources, lambda _, d: prepare_ncrs(d))
     cards = score_vendors(join_ncrs(orders, summarize_ncrs(ncrs, ("source",)), extra_keys=("source",)), rules)
     return _per_source(
         cards.groupBy("source").agg(
@@ -129,7 +134,7 @@ def totals_difference(totals: DataFrame) -> DataFrame:
 
 def vendor_difference(sources: dict[str, Datasets]) -> DataFrame:
     """Full comparison of the vendors of ``left`` and ``right``; one without a city matches its like."""
-    vendors = summarize_orders(_order_store(sources), ("source",))
+    vendors = _summaries(sources, _order_stores(sources))
     both = vendors.groupBy(*VENDOR_KEY).agg(
         *[F.count_if(F.col("source") == s).alias(f"in_{s}") for s in ("left", "right")],
         *[_of(s, c).alias(f"{c}_{s}") for c in COMPARED for s in ("left", "right")])

@@ -462,8 +462,8 @@ def _(spark, folder):
 
 @query("aggregation_controls")
 def _(spark, folder):
-    store = cards.order_store(cards.load_sample(spark, folder))
-    return reports.aggregation_controls(vendor_summary.summarize_orders(store, totals=True))
+    data = cards.load_sample(spark, folder)
+    return reports.aggregation_controls(vendor_summary.summarize_orders(cards.order_store(data), data.items, totals=True))
 
 
 @query("ncr_vendor_match")
@@ -613,7 +613,8 @@ def _(spark, folder):
 
 
 def _both_sources(spark, folder):
-    return {"left": cards.load_sample(spark, folder), "right": reconcile.load_system(spark, folder)}
+    t = _tables(spark, folder).keep_lines()
+    return {"left": cards.load_sample(spark, folder, t), "right": reconcile.load_system(spark, folder, tables=t)}
 
 
 @query("recon_stage_diff")
@@ -646,7 +647,8 @@ PARITY_KEYS = {"purchase_orders": LINE, "ncrs": ["ncr_number"], "items": ["part_
 
 @query("dataset_parity")
 def _(spark, folder):
-    raw, system = _raw_frames(_tables(spark, folder)), reconcile.load_system(spark, folder)
+    t = _tables(spark, folder).keep_lines()
+    raw, system = _raw_frames(t), reconcile.load_system(spark, folder, tables=t)
     pairs = {"purchase_orders": (ingest.clean_purchase_orders(raw["purchase_orders"], fill=False),
                                  system.purchase_orders),
              "ncrs": (ingest.clean_ncrs(raw["ncrs"]), system.ncrs),

@@ -34,8 +34,8 @@ class Datasets:
     vendors: DataFrame
 
 
-def load_sample(spark: SparkSession, folder: str) -> Datasets:
-    t = sample.SampleTables(spark, folder)
+def load_sample(spark: SparkSession, folder: str, tables: sample.SampleTables | None = None) -> Datasets:
+    t = tables or sample.SampleTables(spark, folder)
     return Datasets(
         ingest.clean_purchase_orders(sample.purchase_orders_raw(t)),
         ingest.clean_ncrs(sample.ncrs_raw(t)),
@@ -61,12 +61,13 @@ def load_files(spark: SparkSession, paths: dict[str, str], fmt: str = "csv",
 
 
 def prepare_orders(data: Datasets) -> DataFrame:
-    """Lines with identity, delivery and lead-time measures; prices come from a store of them."""
+    """Lines with identity, delivery and lead-time measures, one by one."""
     return with_lead_time(with_delivery(with_vendor_identity(data.purchase_orders)), data.items)
 
 
 def order_store(data: Datasets) -> DataFrame:
-    return price_store(prepare_orders(data), MEASURED)
+    """Lines with identity and delivery measures, written once; lead times come with the summary."""
+    return price_store(with_delivery(with_vendor_identity(data.purchase_orders)), MEASURED)
 
 
 def prepare_ncrs(data: Datasets) -> DataFrame:
@@ -74,7 +75,7 @@ def prepare_ncrs(data: Datasets) -> DataFrame:
 
 
 def order_summary(data: Datasets) -> DataFrame:
-    return summarize_orders(order_store(data))
+    return summarize_orders(order_store(data), data.items)
 
 
 def vendor_summary(data: Datasets) -> DataFrame:

@@ -42,9 +42,9 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back, so that it is computed once and its
     rows stay the same however often they are read and whichever executor is lost."""
     folder = work_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from supplierlens.session import written
+
 COMPANY_OFFSET = 1_000_000_000  # customers as companies, above every supplier key
 
 
@@ -19,12 +21,19 @@ class SampleTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.kept_lines: DataFrame | None = None
 
     def __getattr__(self, table: str) -> DataFrame:
         if table.startswith("_"):
             raise AttributeError(table)
         return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
+    def keep_lines(self) -> SampleTables:
+        """Writes the order lines; ``order_lines`` reads them from then on, so that several
+        datasets made from lines do not join lines and headers each on their own."""
+        self.kept_lines = written(order_lines(self), "order-lines", "zstd")
+        return self
+
 
 def _days(x: Column) -> Column:
     return F.make_dt_interval(x.cast("int"))
@@ -34,10 +43,10 @@ def _text(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def suppliers(t: SampleTables) -> DataFrame:
+def _with_nation(s: DataFrame, t: SampleTables) -> DataFrame:
     # nation has 25 rows at every scale, which is what makes the broadcast safe.
     nation = F.broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
-    return t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).withColumn(
+    return s.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).withColumn(
         "status_text",
         F.when(F.col("s_suppkey") % 4 == 0, " (Approved)")
         .when(F.col("s_suppkey") % 4 == 1, "")
@@ -46,6 +55,16 @@ def suppliers(t: SampleTables) -> DataFrame:
     )
 
 
+def suppliers(t: SampleTables) -> DataFrame:
+    return _with_nation(t.supplier, t)
+
+
+def _with_supplier(lines: DataFrame, t: SampleTables) -> DataFrame:
+    """Lines with their supplier. The supplier table meets them by itself: its size is known,
+    so Spark broadcasts it while it is small, which it would not do with the result of a join."""
+    return _with_nation(lines.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")), t)
+
+
 def _line_vendor_name() -> Column:
     """Display name on a line; some suppliers ship almost everything from a depot."""
     place = (
@@ -71,11 +90,10 @@ def order_headers(t: SampleTables) -> DataFrame:
     )
 
 
-def order_details(t: SampleTables) -> DataFrame:
+def _order_details() -> list[Column]:
     """PO lines as stored with the order: no header fields, no receipt dates."""
     open_line, nr = F.col("l_linestatus") == "O", F.col("l_linenumber")
-    lines = t.lineitem.join(suppliers(t), F.col("l_suppkey") == F.col("s_suppkey"))
-    return lines.select(
+    return [
         F.col("l_orderkey").alias("po_number"),
         F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("part_id"),
@@ -96,7 +114,7 @@ def order_details(t: SampleTables) -> DataFrame:
         F.when(open_line & (nr % 3 == 0), None)
         .otherwise((F.col("l_partkey") * 31 + nr * 17) % (F.col("l_suppkey") % 40 + 20))
         .alias("receipt_lag_days"),
-    )
+    ]
 
 
 def _with_dates(lines: DataFrame) -> DataFrame:
@@ -110,7 +128,12 @@ def _with_dates(lines: DataFrame) -> DataFrame:
 
 def order_lines(t: SampleTables) -> DataFrame:
     """Every PO line with its header, as a spreadsheet extract would deliver it."""
-    return _with_dates(order_details(t).join(order_headers(t), "po_number"))
+    if t.kept_lines is not None:
+        return t.kept_lines
+    headers = order_headers(t)
+    # The header comes first, so that only the stored, narrow columns of a line are shuffled.
+    lines = _with_supplier(t.lineitem.join(headers, F.col("l_orderkey") == F.col("po_number")).drop("po_number"), t)
+    return _with_dates(lines.select(*_order_details(), *[c for c in headers.columns if c != "po_number"]))
 
 
 def purchase_orders_raw(t: SampleTables) -> DataFrame:
@@ -142,11 +165,9 @@ def receipts(t: SampleTables) -> DataFrame:
 
 def ncrs_raw(t: SampleTables) -> DataFrame:
     """Non-conformances: returned lines beyond the tolerance of the supplier's nation."""
-    s = suppliers(t)
     defect = F.round((F.col("l_discount") + F.col("l_tax")) * 100).cast("int") * 10
     lines = (
-        t.lineitem.where(F.col("l_returnflag") == "R")
-        .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+        _with_supplier(t.lineitem.where(F.col("l_returnflag") == "R"), t)
         .where(defect >= F.col("n_nationkey") * 3 + 100)
     )
     return lines.select(
