@@ -73,7 +73,8 @@ def po_extract(lines: DataFrame, receipts: DataFrame, companies: DataFrame,
     """PO lines with receipts, supplier, display name and project; one row per line.
 
     ``receipt_basis`` picks quantity and last date from the receipt log or the line.
-    Which join is broadcast is left to Spark: the directories grow with the data.
+    Which join is broadcast is left to Spark: the directories grow with the data. Receipts and
+    names come last, so that the lines are still narrow when projects are joined.
     """
     if receipt_basis not in ("log", "line"):
         raise ValueError(f"receipt_basis {receipt_basis!r}: expected 'log' or 'line'")
@@ -86,10 +87,10 @@ def po_extract(lines: DataFrame, receipts: DataFrame, companies: DataFrame,
         lines.where(scope_predicate(scope))
         .withColumnsRenamed({"received_qty": "line_received_qty",
                              "last_receipt_date": "line_last_receipt"})
+        .join(project, "project_number", "left")
         .join(receipt_rollup(receipts), LINE_KEY, "left")
         .join(company, "supplier_company_id", "left")
         .join(names, "supplier_company_id", "left")
-        .join(project, "project_number", "left")
     )
     src = "log" if receipt_basis == "log" else "line"
     date = "log_last_receipt" if receipt_basis == "log" else "line_last_receipt"
