@@ -659,6 +659,8 @@ def _(spark, folder):
         key = PARITY_KEYS[dataset]
         columns = [c for c in contracts.contract(dataset)
                    if c in left.columns and c in right.columns and c not in key]
+        # The joins of the extract run for this write and not for each reading.
+        right = written(right.select(*key, *columns), f"parity-{dataset}", "zstd")
         part = reconcile.dataset_parity(dataset, left, right, key, columns)
         out = part if out is None else out.unionByName(part)
     return out
