@@ -45,6 +45,23 @@ def test_encoder(spark, corpus, library, path):
     assert got == ids_of(library, path, texts)
 
 
+def test_plain_texts_need_no_tables(library, monkeypatch):
+    """Texts of plain characters and lone blanks are encoded whole, others by units; ids are the library's."""
+    rnd = random.Random(5)
+    words = ["it's", "I'LL", "'re", "don't'", "x1y2", "123", "...", "Éa,", "œuvre", "a-b", "!?", "the", "$5", "Ŋ", "q" * 3000, "<a>", "'"]
+    plain = ["", "a", "'s"]
+    for _ in range(400):
+        picked = rnd.choices(words, k=rnd.randint(1, 40))
+        plain.append("".join(w + rnd.choice([" ", "\n", ""]) for w in picked[:-1]) + picked[-1])
+    plain = [x for x in plain if "<|" not in x]
+    odd = [x + y for x, y in zip(plain, ["  z", "\n\nb", " ", "<|endoftext|>", " \n c", "\t", " 漢"] * 10)]
+    want = ids_of(library, BYTE, plain + odd)
+    encoder = tokens.Encoder(BYTE)
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(plain + odd)] == want
+    monkeypatch.setattr(tokens.UnitCache, "over", lambda self, units: {"\n": b""} if not any(set(x) - {"\n"} for x in units) else 1 / 0)
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(plain)] == want[:len(plain)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from(PARTS), max_size=40).map("".join) | st.text(max_size=30))
 def test_any_text(text):
