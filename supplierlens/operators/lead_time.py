@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplierlens.functions.dates import days_floor
@@ -48,19 +48,24 @@ def lead_time_conflicts(items: DataFrame) -> DataFrame:
 
 
 def with_lead_time(po: DataFrame, items: DataFrame, heavy_rows: int = HEAVY_ROWS,
-                   deal_by: Sequence[str] = LINE_KEY, keep_salt: bool = False) -> DataFrame:
+                   deal_by: Sequence[str] = LINE_KEY) -> DataFrame:
     """Adds the benchmark and the adherence measures; the row count never changes.
 
     Lines of a part with over ``heavy_rows`` lines, and lines without a part, are dealt out
-    by ``deal_by``; with ``keep_salt`` the column ``_salt`` says how.
+    by ``deal_by``.
     """
     po = po.withColumn("part_number_match_key", part_key(po))
-    po = looked_up(po, lead_time_reference(items), ["part_number_match_key"], list(deal_by),
-                   heavy_rows, keep_salt)
-    bench = F.col("item_lead_time_days")
-    actual = F.col("actual_lead_time_days")
-    po = po.withColumn("actual_lead_time_days",
-                       days_floor(F.col("last_receipt_date"), F.col("order_date")))
+    po = looked_up(po, lead_time_reference(items), ["part_number_match_key"], list(deal_by), heavy_rows)
+    return lead_time_measures(po.withColumn("actual_lead_time_days", actual_days()))
+
+
+def actual_days() -> Column:
+    return days_floor(F.col("last_receipt_date"), F.col("order_date"))
+
+
+def lead_time_measures(po: DataFrame) -> DataFrame:
+    """The adherence measures of lines that have benchmark and actual days."""
+    bench, actual = F.col("item_lead_time_days"), F.col("actual_lead_time_days")
     po = po.withColumn("lead_time_eligible",
                        flag(F.col("fully_received") & (bench >= 0) & (actual >= 0)))
     eligible = F.col("lead_time_eligible")

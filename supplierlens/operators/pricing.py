@@ -75,16 +75,17 @@ def _part(cuts: Column, at: Column) -> Column:
     return F.when(cuts.isNull(), 0).otherwise(found)
 
 
-def with_parts(store: DataFrame, extra_keys: tuple[str, ...] = (),
-               part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
+def with_parts(store: DataFrame, extra_keys: Sequence[str] = (), part_rows: int = PART_ROWS,
+               group: Sequence[str] = PRICE_GROUP) -> tuple[DataFrame, DataFrame]:
     """``store`` with the ``_part`` of its group that a row is in, and the prices carried on
     from the ends of parts.
 
     A group of over ``part_rows`` rows is cut into consecutive parts at orders taken from a
     sample (``_cuts``). There are at most as many cuts, and ends of parts, as rows divided by
-    ``part_rows``; that bound, not a size seen, is why both may be broadcast.
+    ``part_rows``; that bound, not a size seen, is why both may be broadcast. ``group`` names
+    columns that tell the same groups apart as PRICE_GROUP does.
     """
-    keys = [*PRICE_GROUP, *extra_keys]
+    keys = [*group, *extra_keys]
     cuts = F.broadcast(written(_cuts(store, keys, part_rows), "price-cuts"))
     at, price = _order_struct(store), F.col("unit_price")
     grouped = store.withColumn("_group", F.xxhash64(*keys))
@@ -98,16 +99,16 @@ def with_parts(store: DataFrame, extra_keys: tuple[str, ...] = (),
     return parted, carried
 
 
-def previous_prices(parted: DataFrame, carried: DataFrame, extra_keys: tuple[str, ...] = (),
-                    within: tuple[str, ...] = ()) -> DataFrame:
+def previous_prices(parted: DataFrame, carried: DataFrame, extra_keys: Sequence[str] = (),
+                    within: Sequence[str] = (), group: Sequence[str] = PRICE_GROUP) -> DataFrame:
     """``previous_unit_price`` from what ``with_parts`` gives, to which columns may have been
     added: the window runs per part, whose first row takes the price from the part before.
 
     Columns ``within`` have one value per part. Where rows are spread by these already, say by
     a join, the window needs no shuffle.
     """
-    keys, price = [*PRICE_GROUP, *extra_keys], F.col("unit_price")
-    w = Window.partitionBy(*within, *keys, "_part").orderBy(*_order_columns(parted))
+    keys, price = [*group, *extra_keys], F.col("unit_price")
+    w = Window.partitionBy(*dict.fromkeys([*within, *keys, "_part"])).orderBy(*_order_columns(parted))
     lagged = parted.withColumns({"_lag": F.lag(price, 1).over(w), "_nr": F.row_number().over(w)})
     first = (F.when(F.col("_nr") == 1, F.col("_part")) == F.col("_at")) & (F.xxhash64(*keys) == F.col("_of"))
     for c in keys:  # hashes may be shared, keys may be null

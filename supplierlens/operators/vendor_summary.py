@@ -6,21 +6,24 @@ rows, and a vendor with a third of all NCRs is already one row when it is shuffl
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from supplierlens.functions.numeric import pct
+from supplierlens.functions.numeric import part_key, pct
 from supplierlens.operators.identity import VENDOR_KEY
-from supplierlens.operators.lead_time import with_lead_time
+from supplierlens.operators.lead_time import actual_days, lead_time_measures, lead_time_reference
 from supplierlens.operators.pricing import (
     PART_ROWS,
-    PRICE_GROUP,
     previous_prices,
     price_columns,
     price_measures,
     with_parts,
 )
 from supplierlens.operators.skew import HEAVY_ROWS, looked_up
+from supplierlens.session import written
 
 NCR_COUNTS = ["supplier_linked_ncr_count", "quality_eligible_ncr_count",
               "ncr_quantity_anomaly_count", "responsiveness_eligible_ncr_count",
@@ -33,8 +36,28 @@ MEASURED = ["po_number", "part_number", "ordered_qty", "received_qty", "fully_re
             "late", "late_days_only", "last_receipt_date"]
 
 
-#: Line columns that lead times are made from.
-TIMED = ["part_number", "fully_received", "last_receipt_date"]
+#: What a price group has beside its part.
+TERMS = [*VENDOR_KEY, "commercial_currency_key", "commercial_uom_key"]
+
+
+def _code(columns: list[str], seed: int) -> Column:
+    """64 bits for the values of ``columns``; a null is not passed over."""
+    return F.xxhash64(F.lit(seed), *[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
+def coded_terms(store: DataFrame) -> tuple[DataFrame, int]:
+    """The terms that lines name, with a code each and one of the vendor, and the codes' seed.
+
+    Lines can go by these codes in place of four texts: that no two terms and no two vendors
+    share one is counted, and another seed taken until it is so.
+    """
+    named = written(store.select(*TERMS).distinct(), "terms", "zstd")
+    for seed in count():
+        terms = named.withColumns({"_terms": _code(TERMS, seed), "_vendor": _code(VENDOR_KEY, seed)})
+        found = terms.agg(F.count(F.lit(1)), F.count_distinct("_terms"),
+                          F.count_distinct(F.struct(*VENDOR_KEY)), F.count_distinct("_vendor")).first()
+        if found[0] == found[1] and found[2] == found[3]:
+            return terms, seed
 
 
 def summarize_orders(store: DataFrame, items: DataFrame, totals: bool = False, heavy_rows: int = HEAVY_ROWS,
@@ -44,7 +67,8 @@ def summarize_orders(store: DataFrame, items: DataFrame, totals: bool = False, h
     ``store`` is a written price store with the MEASURED columns. Quantities and delivery are
     summed up as they are read. Only what lead times and prices need is shuffled, once for
     both: by part, a heavy one dealt out by its price groups, so that the window finds each
-    group in one place. Orders are counted on distinct pairs of vendor and order.
+    group in one place. Orders are counted on distinct pairs of vendor and order. Shuffled lines
+    have codes in place of vendor, currency and unit (``coded_terms``); the texts meet the sums.
     With ``totals`` a row with ``is_total`` has the measures of all lines, made in the same
     passes as the vendors'.
     """
@@ -69,29 +93,41 @@ def summarize_orders(store: DataFrame, items: DataFrame, totals: bool = False, h
         "late_count": F.count_if("late"),
         "average_days_late": F.avg("late_days_only"),
     }
-    of_times_and_prices = {
-        "lead_time_eligible_count": F.count_if("lead_time_eligible"),
-        "lead_time_adherent_count": F.count_if("lead_time_adherent"),
-        "average_actual_lead_time_days": F.avg("eligible_actual_lead_time_days"),
-        "average_lead_time_variance_days": F.avg("lead_time_variance_days"),
-        "price_comparison_count": F.count_if("price_comparison_eligible"),
-        "price_stable_count": F.count_if("price_stable"),
-        "price_increase_count": F.count_if("price_increased"),
-        "average_price_change_pct": F.avg("price_change_pct"),
-    }
-    parted, carried = with_parts(store.select(*price_columns(store, TIMED)), part_rows=part_rows)
-    timed = with_lead_time(parted, items, heavy_rows, [*PRICE_GROUP, "_part"], keep_salt=True)
-    priced = price_measures(previous_prices(timed, carried, within=("part_number_match_key", "_salt")))
-    pairs = store.select(*VENDOR_KEY, "po_number").distinct()
-    counted = pairs.groupBy(*VENDOR_KEY).agg(F.count("po_number").alias("distinct_po_count"))
+    flags = {"lead_time_eligible_count": "lead_time_eligible", "lead_time_adherent_count": "lead_time_adherent",
+             "price_comparison_count": "price_comparison_eligible", "price_stable_count": "price_stable",
+             "price_increase_count": "price_increased"}
+    averages = {"average_actual_lead_time_days": "eligible_actual_lead_time_days",
+                "average_lead_time_variance_days": "lead_time_variance_days",
+                "average_price_change_pct": "price_change_pct"}
+    of_terms = {c: F.sum(c) for c in flags} | {
+        c: F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_count_{c}"), F.lit(0)) for c in averages}
+    terms, seed = coded_terms(store)
+    # A part known by text is joined by its commercial key, which is the match key but for ''.
+    text = isinstance(store.schema["part_number"].dataType, T.StringType)
+    part, group = "commercial_part_key" if text else "part_number_match_key", ["_terms", "commercial_part_key"]
+    lines = store.select(
+        _code(TERMS, seed).alias("_terms"), *([] if text else [part_key(store).alias(part)]),
+        *[c for c in price_columns(store, ["fully_received"]) if c not in TERMS],
+        F.when(F.col("fully_received"), actual_days()).alias("actual_lead_time_days"))
+    parted, carried = with_parts(lines, part_rows=part_rows, group=group)
+    known = lead_time_reference(items).withColumnRenamed("part_number_match_key", part)
+    timed = lead_time_measures(looked_up(parted, known, [part], [*group, "_part"], heavy_rows, keep_salt=True))
+    priced = price_measures(previous_prices(timed, carried, within=[part, "_salt"], group=group)).groupBy("_terms").agg(
+        *[F.count_if(x).alias(c) for c, x in flags.items()],
+        *[x.alias(f"_{n}_{c}") for c, v in averages.items() for n, x in (("sum", F.sum(v)), ("count", F.count(v)))])
+    priced = priced.join(terms.drop("_vendor"), "_terms")
+    pairs = store.select(_code(VENDOR_KEY, seed).alias("_vendor"), "po_number").distinct()
+    counted = pairs.groupBy("_vendor").agg(F.count("po_number").alias("distinct_po_count")).join(
+        terms.select("_vendor", *VENDOR_KEY).distinct(), "_vendor").drop("_vendor")
     if totals:
         counted = counted.withColumn("is_total", F.lit(False)).unionByName(
             pairs.agg(F.count_distinct("po_number").alias("distinct_po_count"), F.lit(True).alias("is_total")),
             allowMissingColumns=True)
     # All have every vendor, also those without a city, in one row each.
-    lines, prices = grouped(store, of_lines), grouped(priced, of_times_and_prices)
-    both = lines.unionByName(prices, allowMissingColumns=True).unionByName(counted, allowMissingColumns=True)
-    ordered = [*list(of_lines)[:3], "distinct_po_count", *list(of_lines)[3:], *of_times_and_prices]
+    both = grouped(store, of_lines).unionByName(grouped(priced, of_terms), allowMissingColumns=True).unionByName(
+        counted, allowMissingColumns=True)
+    ordered = [*list(of_lines)[:3], "distinct_po_count", *list(of_lines)[3:], *list(flags)[:2], *list(averages)[:2],
+               *list(flags)[2:], *list(averages)[2:]]
     out = both.groupBy(*VENDOR_KEY, *(["is_total"] if totals else [])).agg(*[F.max(c).alias(c) for c in ordered])
     return out.withColumns({
         "on_time_delivery_pct": pct(F.col("on_time_count"), F.col("delivery_eligible_count")),

@@ -11,7 +11,7 @@ from supplierlens.operators.identity import VENDOR_KEY
 from supplierlens.operators.lead_time import with_lead_time
 from supplierlens.operators.pricing import PRICE_GROUP, price_measures, price_store, with_price_keys
 from supplierlens.plans import reconcile
-from supplierlens.sources import sampledata
+from supplierlens.sources import extracts, sampledata
 
 
 @contextmanager
@@ -117,8 +117,6 @@ def test_sources_read_the_kept_lines(spark, sample):
 
 def test_repeated_companies_and_projects_still_multiply_lines(spark, sample):
     """Joins in another order keep what repeated keys do to the number of lines."""
-    from supplierlens.sources import extracts
-
     t = sampledata.SampleTables(spark, sample).keep_lines()
     lines = sampledata.order_lines(t)
     twice = [df.unionAll(df) for df in (sampledata.companies(t), sampledata.display_names(t), sampledata.projects(t))]
@@ -126,3 +124,68 @@ def test_repeated_companies_and_projects_still_multiply_lines(spark, sample):
     named = sampledata.display_names(t).select(F.col("company_id").alias("supplier_company_id"))
     assert out.count() == 8 * lines.join(named, "supplier_company_id", "left_semi").count() \
         + 4 * lines.join(named, "supplier_company_id", "left_anti").count()
+
+
+def test_lines_are_shuffled_with_codes_and_days(spark):
+    """No text of a vendor and no receipt date goes with the lines, nor the part twice."""
+    store = price_store(delivered(spark, 300), vendor_summary.MEASURED)
+    with settings(spark, autoBroadcastJoinThreshold="-1", adaptive_enabled="false"):
+        plan = vendor_summary.summarize_orders(store, parts(spark))._jdf.queryExecution().executedPlan()
+    todo, found = [plan], []
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange" and "_salt#" in node.outputPartitioning().toString():
+            found.append({node.output().apply(i).name() for i in range(node.output().size())})
+    lines = [c for c in found if "unit_price" in c]
+    assert len(lines) == 1 and {"_terms", "commercial_part_key", "actual_lead_time_days"} < lines[0]
+    assert not lines[0] & {*VENDOR_KEY, "commercial_currency_key", "commercial_uom_key", "last_receipt_date",
+                           "part_number", "part_number_match_key"}
+
+
+def test_terms_that_share_a_code_are_told_apart(spark, monkeypatch):
+    """A code that two terms or two vendors share is given up; nulls have codes of their own."""
+    plain = vendor_summary._code
+    monkeypatch.setattr(vendor_summary, "_code", lambda columns, seed: plain(columns, seed) % (2 if seed < 2 else 1 << 62))
+    po, items = delivered(spark), parts(spark)
+    store = price_store(po, vendor_summary.MEASURED)
+    assert vendor_summary.coded_terms(store)[1] == 2
+    want = row_by_row(po, items)
+    assert rows_of(vendor_summary.summarize_orders(store, items), want.columns) == rows_of(want, want.columns)
+    swapped = spark.createDataFrame([("A", None, "X", None), (None, "A", None, "X"), (None, "A", "X", None)],
+                                    ", ".join(f"{c} string" for c in vendor_summary.TERMS))
+    terms, seed = vendor_summary.coded_terms(swapped)
+    assert seed == 2 and terms.count() == terms.select("_terms").distinct().count() == 3
+
+
+@pytest.mark.parametrize("kind", ["string", "double"])
+def test_blank_and_numeric_parts(spark, kind):
+    """A blank part has prices but no lead time, a missing one neither; numeric parts match by whole number."""
+    named = ["", None, " ", "7", "7.5", "x" if kind == "string" else "8"]
+    n = F.col("id")
+    po = delivered(spark, 600).withColumn("id", F.monotonically_increasing_id()).withColumn(
+        "part_number", F.array(*map(F.lit, named))[(n % 6).cast("int")])
+    po = po.drop("id").withColumn("part_number", F.col("part_number").try_cast(kind))
+    items = spark.createDataFrame([("7", 30.0), ("7.5", 40.0), ("X", 50.0)], "part_number string, lead_time double")
+    want = row_by_row(po, items)
+    out = vendor_summary.summarize_orders(price_store(po, vendor_summary.MEASURED), items)
+    assert rows_of(out, want.columns) == rows_of(want, want.columns)
+    assert out.agg(F.sum("lead_time_adherent_count"), F.sum("price_comparison_count")).first()[0] > 0
+
+
+def test_unused_projects_do_not_shuffle_lines(spark, sample):
+    t = sampledata.SampleTables(spark, sample).keep_lines()
+    with settings(spark, autoBroadcastJoinThreshold="-1", adaptive_enabled="false"):
+        po = reconcile.load_system(spark, sample, tables=t).purchase_orders
+        assert any("project_number" in x for x in plan_of(po) if "Exchange hashpartitioning" in x)
+        narrow = po.select("po_number", "received_qty", "vendor_name")
+        assert not any("project_number" in x for x in plan_of(narrow) if "Exchange hashpartitioning" in x)
+
+
+def test_a_directory_with_a_key_twice_is_left_as_it_is(spark):
+    some = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k int, v string")
+    asked = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    for directory, rows in ((some, 4), (some.unionAll(some), 6)):
+        known = extracts.known_unique(directory, "k")
+        assert asked.join(known, "k", "left").count() == rows
+        assert rows_of(asked.join(known, "k", "left"), ["k", "v"]) == rows_of(asked.join(directory, "k", "left"), ["k", "v"])
