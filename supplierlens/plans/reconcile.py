@@ -41,7 +41,8 @@ def load_system(spark: SparkSession, folder: str, scope: extracts.Scope = EVERYT
     sellers = written(companies.select("company_id", "company_name", "city", "supplier_record")
                       .join(named, "company_id", "left_semi"), "line-companies", "zstd")
     names = written(sample.display_names(t).join(named, "company_id", "left_semi"), "line-names", "zstd")
-    po = extracts.po_extract(sample.order_lines(t), sample.receipts(t), sellers, names, sample.projects(t), scope,
+    projects = extracts.known_unique(sample.projects(t).select("project_number", "project_name"), "project_number")
+    po = extracts.po_extract(sample.order_lines(t), sample.receipts(t), sellers, names, projects, scope,
                              receipt_basis)
     ncrs = extracts.ncr_extract(sample.ncrs_raw(t), sample.order_lines(t), sellers, names, scope)
     items = ingest.clean_items(extracts.item_extract(sample.items_raw(t), sample.inventory(t)))

@@ -67,6 +67,18 @@ def receipt_rollup(receipts: DataFrame) -> DataFrame:
     )
 
 
+def known_unique(directory: DataFrame, key: str) -> DataFrame:
+    """``directory`` in a form that Spark knows to have one row per ``key``, where that is so.
+
+    Its left joins then fall away where no column of it is wanted. Where a key comes twice the
+    directory is left as it is, and its joins repeat rows as ever.
+    """
+    twice = directory.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
+    if twice.limit(1).count():
+        return directory
+    return directory.groupBy(key).agg(*[F.first(c).alias(c) for c in directory.columns if c != key])
+
+
 def po_extract(lines: DataFrame, receipts: DataFrame, companies: DataFrame,
                display_names: DataFrame, projects: DataFrame, scope: Scope = Scope(),
                receipt_basis: str = "log") -> DataFrame:
