@@ -216,46 +216,41 @@ def _compared_ranges(left: DataFrame, right: DataFrame, key: list[str], columns:
         a, b = (F.max(F.when(F.col("_side") == tag, F.col(c))) for tag in ("left", "right"))
         return ~a.eqNullSafe(b)
 
+    found = written(both.groupBy("_range").agg(
+        (differs("_rows") | differs("_keys")).alias("_keys_differ"),
+        F.array(*[differs(c) for c in columns]).alias("_differ"),
+        F.max(F.when(F.col("_side") == "left", F.col("_rows"))).alias("_rows")), "range-digests")
     # A key held twice meets itself crosswise in the join, which equal digests do not show. If
-    # only the right side holds one twice, the numbers of rows differ already.
-    twice = left.groupBy("_range", F.xxhash64(*key).alias("_key")).count().where("count > 1").select(
-        "_range", F.lit("twice").alias("_side")).distinct()
-    twice_here = F.count_if(F.col("_side") == "twice") > 0
-    return both.unionByName(twice, allowMissingColumns=True).groupBy("_range").agg(
-        (differs("_rows") | differs("_keys") | twice_here).alias("_keys_differ"),
-        F.array(*[differs(c) | twice_here for c in columns]).alias("_differ"),
-        F.max(F.when(F.col("_side") == "left", F.col("_rows"))).alias("_rows"))
+    # only the right side holds one twice, the numbers of rows differ already. Keys are counted
+    # only in ranges of which something would count as equal.
+    some_equal = found.where(~F.col("_keys_differ") | F.array_contains("_differ", False)).select("_range")
+    twice = left.join(F.broadcast(some_equal), "_range", "left_semi").groupBy(
+        "_range", F.xxhash64(*key).alias("_key")).count().where("count > 1").select(
+        "_range", F.lit(True).alias("_twice")).distinct()
+    twice_here = F.col("_twice").isNotNull()
+    return found.join(twice, "_range", "left").select(
+        "_range", (F.col("_keys_differ") | twice_here).alias("_keys_differ"),
+        F.transform("_differ", lambda d: d | twice_here).alias("_differ"), "_rows")
 
 
-def dataset_parity(dataset: str, left: DataFrame, right: DataFrame, key: list[str],
-                   columns: list[str], ranges: int = RANGES) -> DataFrame:
-    """Per column, how many rows of the two datasets disagree; the key should be unique, and
-    rows of one that is not are compared crosswise.
+def _mark(df: DataFrame, columns: list[str]) -> Column:
+    """One digest of the canonical values of a row; each counts with its place, so that a null
+    is not its neighbour's."""
+    return F.xxhash64(F.lit(-1), *[x for i, c in enumerate(columns) for x in (F.lit(i), canonical(df, c))])
 
-    Both sides are first summed up to one digest per range of keys and column. Rows are joined
-    only in ranges that differ, with the values of the columns that differ there; all others
-    count as compared and equal. There are at most ``ranges`` ranges, so their list is broadcast.
-
-    A difference is documented where a known rule explains that row: blank against zero.
-    """
-    def canonized(df: DataFrame) -> DataFrame:
-        return df.select(F.pmod(F.xxhash64(*key), F.lit(ranges)).alias("_range"), *key,
-                         *[canonical(df, c).alias(c) for c in columns])
 
-    sides = {"left": canonized(left), "right": canonized(right)}
-    compared = written(_compared_ranges(sides["left"], sides["right"], key, columns), "compared-ranges")
-    is_open = F.col("_keys_differ") | F.array_contains("_differ", True)
+def _met(left: DataFrame, right: DataFrame, key: list[str], ranges: DataFrame) -> DataFrame:
+    """Rows of some ranges joined by the key, each side with one digest for all columns."""
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.join(F.broadcast(ranges), "_range", "left_semi").select(*key, F.col("_row").alias(f"_{tag}"))
 
-    def side(tag: str) -> DataFrame:
-        return sides[tag].join(F.broadcast(compared.where(is_open).drop("_rows")), "_range").select(
-            *key, F.lit(True).alias(f"in_{tag}"),
-            *[F.when(F.col("_differ")[i], F.col(c)).alias(f"{c}_{tag}") for i, c in enumerate(columns)])
+    return side(left, "left").join(side(right, "right"), key, "full_outer")
 
-    joined = side("left").join(side("right"), key, "full_outer")
-    both = F.col("in_left").isNotNull() & F.col("in_right").isNotNull()
 
+def _disagreements(pairs: DataFrame, columns: list[str], dataset: str) -> DataFrame:
+    """Per column, pairs that differ and, of these, pairs that a known rule explains."""
     def differs(c: str) -> Column:
-        return both & ~F.col(f"{c}_left").eqNullSafe(F.col(f"{c}_right"))
+        return ~F.col(f"{c}_left").eqNullSafe(F.col(f"{c}_right"))
 
     def explained(c: str) -> Column:
         if (dataset, c) not in BLANK_IS_ZERO:
@@ -263,19 +258,79 @@ def dataset_parity(dataset: str, left: DataFrame, right: DataFrame, key: list[st
         a, b = (F.coalesce(F.col(f"{c}_{tag}").try_cast("double"), F.lit(0.0)) for tag in ("left", "right"))
         return (a == 0) & (b == 0)
 
-    counts = joined.agg(
-        F.count_if(both).alias("compared"),
-        F.count_if(F.col("in_right").isNull()).alias("only_left"),
-        F.count_if(F.col("in_left").isNull()).alias("only_right"),
-        *[F.count_if(differs(c)).alias(f"{c}_all") for c in columns],
-        *[F.count_if(differs(c) & explained(c)).alias(f"{c}_known") for c in columns])
-    closed = compared.where(~is_open).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("closed"))
-    rows = [
+    return pairs.agg(*[F.count_if(differs(c)).alias(f"{c}_all") for c in columns],
+                     *[F.count_if(differs(c) & explained(c)).alias(f"{c}_known") for c in columns])
+
+
+def dataset_parity(dataset: str, left: DataFrame, right: DataFrame, key: list[str],
+                   columns: list[str], ranges: int = RANGES, apart: tuple[str, ...] = ()) -> DataFrame:
+    """Per column, how many rows of the two datasets disagree; the key should be unique, and
+    rows of one that is not are compared crosswise.
+
+    Rows carry one digest of all their values. Both sides are first summed up to one digest per
+    range of keys; all rows of a range that agrees count as compared and equal. Rows of the other
+    ranges meet by key, still with their digest only, so that a row which one side lacks does not
+    set the values of its whole range moving. Values are joined only for keys whose digests
+    differ. There are at most ``ranges`` ranges, so their list is broadcast.
+
+    Columns ``apart`` are expected to differ in many rows. They meet by key in a join of their
+    own, each with its own digest, or with its value where a rule may explain a difference. A
+    side that makes them by other joins than the rest runs each part with only its own joins.
+
+    A difference is documented where a known rule explains that row: blank against zero.
+    """
+    sides = {"left": left, "right": right}
+    together, alone = [c for c in columns if c not in apart], [c for c in columns if c in apart]
+    rows = {tag: df.select(F.pmod(F.xxhash64(*key), F.lit(ranges)).alias("_range"), *key,
+                           _mark(df, together).alias("_row")) for tag, df in sides.items()}
+    compared = written(_compared_ranges(rows["left"], rows["right"], key, ["_row"]), "compared-ranges")
+    is_open = F.col("_keys_differ") | F.array_contains("_differ", True)
+
+    a, b = F.col("_left"), F.col("_right")
+    kind = F.when(b.isNull(), "only_left").when(a.isNull(), "only_right").when(a == b, "alike").otherwise("unlike")
+    # Only keys whose digests differ are held by name, once each; all else is four numbers.
+    met = written(
+        _met(rows["left"], rows["right"], key, compared.where(is_open).select("_range"))
+        .groupBy(kind.alias("_kind"), *[F.when(kind == "unlike", F.col(k)).alias(k) for k in key])
+        .agg(F.count(F.lit(1)).alias("_pairs")), "met-rows")
+
+    # A handful of numbers; as literals they keep the plan of the result small.
+    tally = met.select("_kind", "_pairs").unionByName(
+        compared.where(~is_open).select(F.lit("closed").alias("_kind"), F.col("_rows").alias("_pairs")))
+    rows_of = {r["_kind"]: r["_pairs"] for r in tally.groupBy("_kind").agg(F.sum("_pairs").alias("_pairs")).collect()}
+
+    def count(*kinds: str) -> Column:
+        return F.lit(sum(rows_of.get(k, 0) for k in kinds)).cast("long")
+
+    def values(of: Callable[[DataFrame, str], Column], names: list[str], only: DataFrame | None) -> DataFrame:
+        """Pairs of rows with ``of`` each side's columns."""
+        one, two = (
+            (df if only is None else df.join(only, key, "left_semi"))
+            .select(*key, *[of(df, c).alias(f"{c}_{tag}") for c in names]) for tag, df in sides.items())
+        return _disagreements(one.join(two, key), names, dataset)
+
+    def own_mark(df: DataFrame, c: str) -> Column:
+        return canonical(df, c) if (dataset, c) in BLANK_IS_ZERO else _mark(df, [c])
+
+    known: list[DataFrame] = []
+    if "unlike" in rows_of:
+        known.append(values(canonical, together, met.where("_kind = 'unlike'").select(*key)))
+    if alone:
+        known.append(values(own_mark, alone, None))
+    counts = known[0] if known else left.sparkSession.range(1)
+    for more in known[1:]:
+        counts = counts.join(F.broadcast(more))
+
+    def pairs(name: str) -> Column:
+        return F.col(name) if name in counts.columns else count()
+
+    found = [
         F.struct(F.lit(dataset).alias("dataset"), F.lit(c).alias("column_name"),
                  F.lit(left.schema[c].dataType == right.schema[c].dataType).alias("same_type"),
-                 F.col(f"{c}_known").alias("documented"),
-                 (F.col(f"{c}_all") - F.col(f"{c}_known")).alias("undocumented"))
+                 pairs(f"{c}_known").alias("documented"),
+                 (pairs(f"{c}_all") - pairs(f"{c}_known")).alias("undocumented"))
         for c in columns
     ]
-    return counts.join(F.broadcast(closed)).select(
-        (F.col("compared") + F.col("closed")).alias("compared"), "only_left", "only_right", F.inline(F.array(*rows)))
+    return counts.select(
+        count("alike", "unlike", "closed").alias("compared"), count("only_left").alias("only_left"),
+        count("only_right").alias("only_right"), F.inline(F.array(*found)))

@@ -182,6 +182,16 @@ def test_unused_projects_do_not_shuffle_lines(spark, sample):
         assert not any("project_number" in x for x in plan_of(narrow) if "Exchange hashpartitioning" in x)
 
 
+def test_unused_receipts_do_not_shuffle_lines(spark, sample):
+    """The parity of columns that are the line's own runs without the receipt log."""
+    t = sampledata.SampleTables(spark, sample).keep_lines()
+    with settings(spark, adaptive_enabled="false"):
+        po = reconcile.load_system(spark, sample, tables=t).purchase_orders
+        assert any("line_no" in x for x in plan_of(po) if "Exchange hashpartitioning" in x)
+        own = po.select(*extracts.LINE_KEY, "unit_price", "uom", "order_date")
+        assert not any("Exchange hashpartitioning" in x for x in plan_of(own))
+
+
 def test_a_directory_with_a_key_twice_is_left_as_it_is(spark):
     some = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k int, v string")
     asked = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
